@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from chronoweave.llm import language_id, mixing
+from chronoweave.llm.near_dedup import near_dedup
+from chronoweave.llm.quality_rules import quality_rules
 from chronoweave.llm.substring_dedup import substring_dedup
 from chronoweave.llm.suffix_dedup import suffix_dedup
 
@@ -18,13 +22,40 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def _held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    profiles = language_id.fit(docs.filter(~_held_out()))
+    return language_id.predict(docs, profiles).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.copies_of(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_language_id": op4_language_id,
+    "op5_near_dedup": op5_near_dedup,
+    "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL}
