@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.llm.keyed import bucket_bits, by_group, ddl, deltas, pack, settled, task_part, total_bytes, unpack, with_key
-from chronoweave.llm.vector import Words, batch_of, mixed, parcels, rolling, run_bounds, table_rows
+from chronoweave.llm.vector import Words, batch_of, lean, mixed, parcels, rolling, run_bounds, table_rows
 
 WINDOW = 35
 #: Bytes of text whose keys one bucket holds, and that one map batch gathers before it sends its blobs.
 BUCKET_BYTES = 8 << 20
-FLUSH_BYTES = 24 << 20
-PIECE_BYTES = 2 << 20
+FLUSH_BYTES = 6 << 20
+PIECE_BYTES = 512 << 10
 
 _PROBE = pa.schema([("bucket", pa.int32()), ("probes", pa.binary()), ("blocks", pa.binary()), ("k1", pa.int64()), ("did", pa.int64()), ("block", pa.int32())])
 _HIT = pa.schema([("k1", pa.int64()), ("did", pa.int64()), ("block", pa.int32())])
@@ -104,6 +104,7 @@ def _send_probes(batches: Iterable[pa.RecordBatch], size: int, bits: int) -> Ite
             blank = [None] * len(out[0])
             yield batch_of(_PROBE, [*out, blank, blank, blank])
 
+    lean()
     for rows in parcels(((k1, did, text.encode()) for did, k1, text in table_rows(batches)), lambda r: len(r[2]) + 64, FLUSH_BYTES):
         yield from flush(rows)
 
@@ -167,6 +168,7 @@ def _send_windows(batches: Iterable[pa.RecordBatch], size: int, window: int, bit
         if out:
             yield batch_of(_WINDOW, [used.astype(np.int32), [part] * len(out), out, [None] * len(out)])
 
+    lean()
     rows = ((k1, did, text.encode(), hits) for did, k1, _, text, hits in table_rows(batches))
     for n, held in enumerate(parcels(rows, lambda r: len(r[2]) + 64, FLUSH_BYTES)):
         yield from flush(held, task_part(n))
