@@ -7,21 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import language_id, mixing
+from chronoweave.llm import language_id, mixing, warc
 from chronoweave.llm.near_dedup import near_dedup
+from chronoweave.llm.packing import pack_pieces
 from chronoweave.llm.quality_rules import quality_rules
 from chronoweave.llm.substring_dedup import substring_dedup
 from chronoweave.llm.suffix_dedup import suffix_dedup
+from chronoweave.llm.tokens import pieces_of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_pieces(pieces_of(_table(spark, sf_dir, "documents")), ["doc_id", "piece", "ids_crc32"])
+
+
 def _held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
@@ -50,7 +60,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_packing": op3_packing,
     "op4_language_id": op4_language_id,
     "op5_near_dedup": op5_near_dedup,
     "op8_mixing": op8_mixing,

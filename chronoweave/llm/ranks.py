@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.llm.store import cut
@@ -20,9 +20,9 @@ def ranked_within(df: DataFrame, group: list[str], order: list[str], name: str =
     there = there.withColumn("_task", F.shiftright("_row", 33))
     parts = there.groupBy(*group, "_task").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     # One row for each group and for each further task it spans.
-    other = parts.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_task").alias("_t"), F.col("_n").alias("_m"))
+    earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
-    before = parts.join(other, [*same, F.col("_t") < F.col("_task")], "left").groupBy(*group, "_task", "_first").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_before"))
     at = before.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_task").alias("_t"), "_first", "_before")
     out = there.join(at, [*same, F.col("_t") == F.col("_task")])
     return out.withColumn(name, F.col("_row") - F.col("_first") + F.col("_before")).select(*df.columns, name)
