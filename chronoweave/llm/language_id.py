@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoweave.llm.keyed import ddl
 from chronoweave.llm.vector import batch_of, table_rows
@@ -96,30 +97,51 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, top: int = TOP) -> dict[str,
     return {lang: np.array(x, dtype=np.int64) for lang, x in sorted(out.items())}
 
 
-def _say(batches: Iterable[pa.RecordBatch], profiles: dict[str, np.ndarray], top: int) -> Iterator[pa.RecordBatch]:
+def _judge(profiles: dict[str, np.ndarray], top: int):
+    """A function of a text: its language and score."""
     names = list(profiles)
     every = np.unique(np.concatenate(list(profiles.values()))) if profiles else np.zeros(0, dtype=np.int64)
     place = np.full((len(names), len(every) + 1), -1, dtype=np.int32)
     for i, x in enumerate(profiles.values()):
         place[i, np.searchsorted(every, x)] = np.arange(len(x))
+
+    def judge(text: str | None) -> tuple[str, float]:
+        own = ranked(codes, top) if len(names) and text and len(codes := grams(text)) else None
+        if own is None:
+            return UNKNOWN, 0.0
+        at = np.minimum(np.searchsorted(every, own), len(every) - 1)
+        at = np.where(every[at] == own, at, len(every))
+        there = place[:, at]
+        far = np.where(there < 0, top, np.abs(there - np.arange(len(own)))).sum(axis=1)
+        i = int(np.argmin(far))
+        return names[i], 1.0 - float(far[i]) / (top * len(own))
+
+    return judge
+
+
+def _say(batches: Iterable[pa.RecordBatch], profiles: dict[str, np.ndarray], top: int) -> Iterator[pa.RecordBatch]:
+    judge = _judge(profiles, top)
     for batch in batches:
-        out = []
-        for doc_id, text in table_rows([batch]):
-            own = ranked(codes, top) if len(names) and text and len(codes := grams(text)) else None
-            if own is None:
-                out.append((doc_id, UNKNOWN, 0.0))
-                continue
-            at = np.minimum(np.searchsorted(every, own), len(every) - 1)
-            at = np.where(every[at] == own, at, len(every))
-            there = place[:, at]
-            far = np.where(there < 0, top, np.abs(there - np.arange(len(own)))).sum(axis=1)
-            i = int(np.argmin(far))
-            out.append((doc_id, names[i], 1.0 - float(far[i]) / (top * len(own))))
-        if out:
-            yield batch_of(_SAID, list(zip(*out, strict=True)))
+        if len(batch):
+            yield batch_of(_SAID, list(zip(*((doc_id, *judge(text)) for doc_id, text in table_rows([batch])), strict=True)))
+
+
+def _add(batches: Iterable[pa.RecordBatch], profiles: dict[str, np.ndarray], top: int, text: str) -> Iterator[pa.RecordBatch]:
+    judge = _judge(profiles, top)
+    for batch in batches:
+        if len(batch):
+            said = [judge(t) for t in batch[text].to_pylist()]
+            names, scores = zip(*said, strict=True)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "_lang_pred", "_lang_score"])
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP) -> DataFrame:
     """doc_id, lang_pred, score for each document, from its text alone."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(lambda it: _say(it, profiles, top), ddl(_SAID))
+
+
+def annotate(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP, text: str = "text") -> DataFrame:
+    """The documents, all columns, with ``_lang_pred`` and ``_lang_score``."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
+    return docs.mapInArrow(lambda it: _add(it, profiles, top, text), schema)

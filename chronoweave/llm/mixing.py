@@ -11,8 +11,7 @@ for each integer that its part of the sum crosses. As the order is by size, the
 document of the target. The order is total and the offset hashed, so reruns agree.
 
 A null text has size 0; a source whose documents are all empty has target 0 and gives none; a null source is a source. Rows that
-repeat an id are rows like others; extra columns stay as they are (``copies``, ``size``, ``source_size`` and ``target`` are added
-and replace any of that name). An empty table gives an empty result.
+repeat an id are rows like others; other columns are ignored unless asked for. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,10 +47,10 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, mo
     return level.select("source", "source_size", F.least("room", F.coalesce(F.col("share") * F.col("weight"), F.col("room"))).alias("target"))
 
 
-def copies_of(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) for each row."""
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in().alias("size"))
-    placed = ranked_within(sized, ["source"], ["size", "doc_id"])
+def copies_of(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, most: float = MOST, seed: str = SEED, extra: tuple = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) for each row, and ``extra`` columns, which also break ties."""
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in().alias("size"), *extra)
+    placed = ranked_within(sized, ["source"], ["size", "doc_id", *extra])
     goal = targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, most)
     goal = goal.withColumnRenamed("source", "_source")
     rows = placed.join(goal, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -59,7 +58,7 @@ def copies_of(docs: DataFrame, weights: tuple = WEIGHTS, total: float = TOTAL, m
     named = F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col("source"), F.lit("")))
     offset = F.conv(F.substring(F.sha2(named, 256), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     crossed = F.floor((F.col("rank") + 1) * rate + offset) - F.floor(F.col("rank") * rate + offset)
-    return rows.select("doc_id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", *extra, crossed.cast("long").alias("copies"))
 
 
 MIX_SQL = """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import language_id, mixing, warc
+from chronoweave.llm import fingerprints, language_id, mixing, secrets_scan, warc
 from chronoweave.llm.near_dedup import near_dedup
 from chronoweave.llm.packing import pack_pieces
 from chronoweave.llm.quality_rules import quality_rules
@@ -46,6 +46,15 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secrets_scan.train(secrets_scan.labelled_findings(spark))
+    return secrets_scan.findings(_table(spark, sf_dir, "documents"), model)
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_edits(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.copies_of(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -65,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_language_id": op4_language_id,
     "op5_near_dedup": op5_near_dedup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,

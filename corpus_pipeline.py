@@ -1,15 +1,84 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; each result is written as
+Parquet and read again as the next stage's docs. All but the last return the columns of ``documents``; columns that a
+stage doesn't know pass through it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chronoweave.llm import language_id, mixing, secrets_scan
+from chronoweave.llm.near_dedup import near_dedup
+from chronoweave.llm.packing import pack_pieces
+from chronoweave.llm.store import settle
+from chronoweave.llm.tokens import pieces_of
+
+#: A document whose nearest language is this far out of place, or that has no letter, is rejected.
+LEAST_SCORE = 0.2
+
+
+def _keys(docs: DataFrame) -> DataFrame:
+    """The documents with did and k1, as in ``llm.keyed``."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    ident = F.col("doc_id").cast("long")
+    return docs.withColumns({"_did": F.coalesce(ident, F.lit(-(2**63))), "_k1": F.xxhash64(ident, text)})
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents in no known language; ``lang`` becomes the language found.
+
+    Profiles are learned from the rows that name a language. A text without letters, empty or null goes.
+    """
+    said = language_id.annotate(docs, language_id.fit(docs))
+    return said.filter((F.col("_lang_pred") != language_id.UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).withColumn("lang", F.col("_lang_pred")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each component, and one row of those that repeat id and text."""
+    kept = near_dedup(docs).filter("kept").select(F.col("did").alias("_did"), F.col("k1").alias("_k1")).distinct()
+    # A component's smallest id may stand in several rows with different texts; they are kept if each speaks for it.
+    return _keys(docs).join(kept, ["_did", "_k1"], "left_semi").dropDuplicates(["_did", "_k1"]).select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts a mark in place of every secret; ``n_chars`` follows the text."""
+    model = secrets_scan.train(secrets_scan.labelled_findings(spark))
+    clean = secrets_scan.redacted(docs, model)
+    return (clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Emits each document as often as the mix takes it: never, once or twice."""
+    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")), "source"))
+    # Rows alike in id, text and source are one to the mix: their copies are emitted from one of them.
+    copies = mixing.copies_of(keyed, extra=("_row",)).groupBy("_row").agg(F.sum("copies").cast("int").alias("_copies"))
+    joined = keyed.dropDuplicates(["_row"]).join(copies, "_row")
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return pack_pieces(pieces_of(docs), ["doc_id", "piece", "ids_crc32"])
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("secret_scan", redact_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: SQL can't express rank-order profiles, a trained forest or the tokenizer; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline over ``documents``; each stage but the last is written in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
