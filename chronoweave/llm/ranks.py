@@ -16,13 +16,13 @@ def ranked_within(df: DataFrame, group: list[str], order: list[str], name: str =
     columns named may change places.
     """
     spread = df.repartitionByRange(*group, *order) if order else df.repartitionByRange(*group)
-    there = cut(spread.sortWithinPartitions(*group, *order).withColumn("_row", F.monotonically_increasing_id()))
-    there = there.withColumn("_task", F.shiftright("_row", 33))
-    parts = there.groupBy(*group, "_task").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    there = cut(spread.sortWithinPartitions(*group, *order).withColumn("__row", F.monotonically_increasing_id()))
+    there = there.withColumn("__task", F.shiftright("__row", 33))
+    parts = there.groupBy(*group, "__task").agg(F.count("*").alias("__n"), F.min("__row").alias("__first"))
     # One row for each group and for each further task it spans.
-    earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    before = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
-    at = before.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_task").alias("_t"), "_first", "_before")
-    out = there.join(at, [*same, F.col("_t") == F.col("_task")])
-    return out.withColumn(name, F.col("_row") - F.col("_first") + F.col("_before")).select(*df.columns, name)
+    earlier = Window.partitionBy(*group).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
+    at = before.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("__task").alias("__t"), "__first", "__before")
+    out = there.join(at, [*same, F.col("__t") == F.col("__task")])
+    return out.withColumn(name, F.col("__row") - F.col("__first") + F.col("__before")).select(*df.columns, name)
