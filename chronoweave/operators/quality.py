@@ -63,11 +63,11 @@ def restatements(facts: DataFrame, tolerance: str = "0.05") -> DataFrame:
     return out.withColumn("difference", F.col("restated") - F.col("reported")).filter(F.abs("difference") > F.lit(tolerance).cast("decimal(20,2)"))
 
 
-def unit_suspects(pairs: DataFrame, least_lines: int = 3, least_share: float = 0.5, near: float = 0.1) -> DataFrame:
-    """File pairs whose common lines lie about a thousandfold apart: ``pairs`` has a_ref, b_ref, a, b."""
+def unit_suspects(pairs: DataFrame, least_lines: int = 3, least_share: float = 0.5, near: float = 0.1, power: float = 3) -> DataFrame:
+    """File pairs whose common lines lie about 10 ** ``power`` fold apart: ``pairs`` has a_ref, b_ref, a, b."""
     apart = F.abs(F.log10(F.abs(F.col("a").cast("double") / F.col("b").cast("double"))))
     usable = pairs.filter("a <> 0 and b <> 0").withColumn("apart", apart)
-    found = usable.groupBy("a_ref", "b_ref").agg(F.count("*").alias("n_lines"), F.avg((F.abs(F.col("apart") - 3) <= near).cast("double")).alias("share"), F.median("apart").alias("median_apart"))
+    found = usable.groupBy("a_ref", "b_ref").agg(F.count("*").alias("n_lines"), F.avg((F.abs(F.col("apart") - power) <= near).cast("double")).alias("share"), F.median("apart").alias("median_apart"))
     return found.filter((F.col("n_lines") >= least_lines) & (F.col("share") >= least_share))
 
 
