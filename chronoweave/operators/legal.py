@@ -11,10 +11,10 @@ CLASSES = ("bankruptcy", "restructuring", "liquidation")
 
 
 def normalised_signature(text: Column) -> Column:
-    """A case signature in upper case: its first four parts joined by spaces if the fourth is a year, else null."""
-    parts = F.split(F.upper(F.trim(text)), r"[\s/]+")
-    four = F.slice(parts, 1, 4)
-    return F.when((F.size(parts) >= 4) & F.get(parts, F.lit(3)).rlike(r"^(\d{2}|\d{4})$"), F.array_join(four, " "))
+    """A case signature in upper case, parts joined by slashes; what follows the year, its fourth part, is dropped. Null if empty."""
+    parts = F.filter(F.split(F.upper(F.regexp_replace(F.trim(text), r"\.+$", "")), r"[\s/]+"), lambda p: p != "")
+    four = F.when((F.size(parts) > 4) & F.get(parts, F.lit(3)).rlike(r"^(\d{2}|\d{4})$"), F.slice(parts, 1, 4)).otherwise(parts)
+    return F.nullif(F.array_join(four, "/"), F.lit(""))
 
 
 def canonical_events(events: DataFrame) -> DataFrame:
