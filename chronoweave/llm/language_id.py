@@ -54,7 +54,7 @@ def grams(text: str) -> np.ndarray:
     out, x, solid = [code[code != 32]], code, code != 32
     for n in range(2, GRAMS + 1):
         x = (x[:-1] << 21) | code[n - 1 :]
-        good = solid[: len(x)] | solid[n - 1 :]
+        good = solid[: len(x)] | solid[1 : len(x) + 1]
         for i in range(1, n - 1):  # a space stands only at an end
             good &= solid[i : i + len(x)]
         out.append(x[good])

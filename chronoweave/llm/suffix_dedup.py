@@ -36,7 +36,7 @@ from chronoweave.llm.keyed import bucket_bits, by_group, ddl, deltas, pack, sett
 from chronoweave.llm.vector import BYTE_CODE, batch_of, parcels, rolling, runs_union, sliding_min, table_rows
 
 LENGTH = 100
-ANCHOR = 24
+ANCHOR = 16
 #: Bytes of text whose suffixes one bucket sorts; that one map batch gathers; that numpy works on at a time.
 BUCKET_BYTES = 8 << 20
 FLUSH_BYTES = 16 << 20
@@ -96,7 +96,7 @@ def _sample(batches: Iterable[pa.RecordBatch], length: int, k: int) -> Iterator[
 
 def _send(batches: Iterable[pa.RecordBatch], length: int, k: int, splitters: np.ndarray, ties: bool) -> Iterator[pa.RecordBatch]:
     def flush(rows: list, part: int) -> Iterator[pa.RecordBatch]:
-        rows.sort(key=lambda r: r[:2])
+        rows = sorted({r[:2]: r for r in rows}.values(), key=lambda r: r[:2])
         seen: dict[bytes, None] = {}
         kept, texts, again = [], [], []
         for piece in parcels(_chunks(rows, length), lambda x: len(x[2]), PIECE_BYTES):
@@ -126,7 +126,7 @@ def _send(batches: Iterable[pa.RecordBatch], length: int, k: int, splitters: np.
             d = doc[chosen]
             tie = k1[d] if ties else np.zeros(len(d), dtype=np.int64)
             places = pack(deltas(d.astype(np.uint32)), deltas(did[d]), tie, start[chosen].astype(np.uint32), size[chosen], anchor[chosen])
-            out.append((places, zstandard.ZstdCompressor(level=3).compress(b"".join([texts[i] for i in chosen.tolist()]))))
+            out.append((places, zstandard.ZstdCompressor(level=6).compress(b"".join([texts[i] for i in chosen.tolist()]))))
         yield batch_of(_SENT, [names, [part] * len(out), [x[0] for x in out], [x[1] for x in out], [None] * len(out)])
 
     rows = ((did, k1, text.encode()) for did, k1, text in table_rows(batches))

@@ -1,14 +1,14 @@
 """WARC archives as a data source: ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
 *Reading.* The driver lists the files once and plans partitions of whole files, small ones together. A task parses a
-record's header first. Predicates on the record type and on headers decide there, from pushed filters or from the options below; of a record that fails, or whose payload nobody
+record's header first. Predicates on the record type and on headers decide there, from pushed filters (option ``pushdown``) or from the options below; of a record that fails, or whose payload nobody
 wants, the payload is passed over without being gathered: sought past in plain files, inflated in small pieces and dropped in
 compressed ones.
 
 *Writing.* A task writes files of about ``file_bytes`` with a gzip member for each record; a job's files count once its
 manifest is written, so what failed or repeated attempts leave behind is never read.
 
-Options: ``types`` (record types, by comma), ``payload`` (``all``, ``none`` or the types whose payload is wanted),
+Options: ``pushdown`` (``true``: see ``PushingReader``), ``types`` (record types, by comma), ``payload`` (``all``, ``none`` or the types whose payload is wanted),
 ``header.<Name>`` (a header's value), ``split_bytes``, ``file_bytes``, ``level``.
 
 Columns: see ``COLUMNS``. A null payload is empty; null headers are left out; a header's control characters are escaped.
@@ -169,15 +169,6 @@ class WarcReader(DataSourceReader):
             if name.lower().startswith("header."):
                 self.tests.append((name[7:].lower(), frozenset([value])))
 
-    def pushFilters(self, filters):
-        """Takes equality and IN on the header columns; Spark applies the others."""
-        for f in filters:
-            if isinstance(f, EqualTo | In) and len(f.attribute) == 1 and f.attribute[0] in HEADERS:
-                values = [f.value] if isinstance(f, EqualTo) else f.value
-                self.tests.append((HEADERS[f.attribute[0]].lower(), frozenset(values)))
-            else:
-                yield f
-
     def partitions(self) -> list[_Files]:
         from pyarrow import fs
 
@@ -226,6 +217,20 @@ class WarcReader(DataSourceReader):
             yield _batch(rows)
 
 
+class PushingReader(WarcReader):
+    """Takes pushed filters. Spark 4.1 keeps what was pushed with the relation, also for other queries on it, so this reader is
+    chosen by an option, and a relation read with it serves one query."""
+
+    def pushFilters(self, filters):
+        """Takes equality and IN on the header columns; Spark applies the others."""
+        for f in filters:
+            if isinstance(f, EqualTo | In) and len(f.attribute) == 1 and f.attribute[0] in HEADERS:
+                values = [f.value] if isinstance(f, EqualTo) else f.value
+                self.tests.append((HEADERS[f.attribute[0]].lower(), frozenset(values)))
+            else:
+                yield f
+
+
 def _batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW)
 
@@ -298,7 +303,8 @@ class WarcDataSource(DataSource):
         return _SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(dict(self.options))
+        options = dict(self.options)
+        return (PushingReader if options.get("pushdown") == "true" else WarcReader)(options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(dict(self.options))
