@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import fingerprints, language_id, mixing, secrets_scan, warc
+from chronoweave.llm import fingerprints, language_id, mixing, oracles, secrets_scan, warc
 from chronoweave.llm.near_dedup import near_dedup
 from chronoweave.llm.packing import pack_pieces
 from chronoweave.llm.quality_rules import quality_rules
@@ -81,4 +81,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.MIX_SQL}
+#: The others have a trained model, a public tokenizer, or hashes that SQL lacks; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": oracles.WARC_SQL,
+    "op2_suffix_dedup": oracles.SUFFIX_SQL,
+    "op5_near_dedup": oracles.NEAR_SQL,
+    "op8_mixing": mixing.MIX_SQL,
+    "op9_substring_dedup": oracles.SUBSTRING_SQL,
+}
