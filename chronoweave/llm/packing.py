@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.llm.ranks import ranked_within
+from chronoweave.llm.store import settle
 from chronoweave.llm.tokens import MOST
 
 
@@ -91,7 +92,8 @@ def _place(batches: Iterable[pa.RecordBatch], lines: np.ndarray, by_length: dict
 
 def pack_pieces(pieces: DataFrame, order: list[str], most: int = MOST) -> DataFrame:
     """The pieces with sequence_id and offset; ``length`` is their tokens, ``order`` breaks ties."""
-    ranked = ranked_within(pieces, ["length"], order)
+    # Range-sorting reads its input twice; pieces are costly to make, so they are written first.
+    ranked = ranked_within(settle(pieces, "pieces"), ["length"], order)
     counts = {int(r["length"]): int(r["n"]) for r in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}
     lines = np.array(sorted(sweep(counts, most)), dtype=np.int64).reshape(-1, 5)
     cuts = np.searchsorted(lines[:, 0], np.unique(lines[:, 0]), "left").tolist() + [len(lines)]

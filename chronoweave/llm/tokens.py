@@ -1,11 +1,12 @@
 """Token ids of whole texts by a public tokenizer, each distinct word encoded once.
 
 The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in order. A worker keeps
-the ids of words it has met, up to ``HELD`` of them.
+the ids of words it has met, up to ``HELD`` of them, and of their lower-cased letters alone up to ``HELD_CORES``.
 """
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -18,7 +19,7 @@ from chronoweave.llm.keyed import ddl
 from chronoweave.llm.vector import batch_of, lean, parcels, table_rows
 
 TOKENIZER, END_ID, MOST = "word_bpe_49k.json", 1, 4096
-HELD = 300_000
+HELD, HELD_CORES = 400_000, 1_000_000
 PIECE_BYTES = 1 << 20
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
@@ -47,14 +48,15 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def _plain(self, word: str) -> str | None:
-        """The word lower-cased if it is Latin letters only, each one character in lower case; such a word is one run
-        of letters to the tokenizer."""
-        return low if word.isalpha() and len(low := word.lower()) == len(word) and max(low) < "ɐ" else None
+    @staticmethod
+    def _plain(word: str) -> bool:
+        """Whether a word is Latin letters only, each one character in lower case: one run of letters to the tokenizer."""
+        return word.isalpha() and (word.isascii() or (len(low := word.lower()) == len(word) and max(low) < "ɐ"))
 
     def _encode_cores(self, cores: list[str]) -> None:
         for i in range(0, len(cores), 500):
@@ -70,31 +72,47 @@ class WordIds:
                     self.cores[word] = np.array(e.ids, dtype="<u4").tobytes()
 
     def learn(self, words: set[bytes]) -> None:
-        """Encodes the words that aren't held yet."""
+        """Encodes the words that aren't held yet. Nothing made here forms cycles, so the collector needn't look."""
+        gc.disable()
+        try:
+            self._learn(words)
+        finally:
+            gc.enable()
+
+    def _learn(self, words: set[bytes]) -> None:
         if len(self.words) > HELD:
-            self.words.clear()
-        if len(self.cores) > HELD:
+            self.words = {w: self.words[w] for w in words & self.words.keys()}
+        if len(self.cores) > HELD_CORES:
             self.cores.clear()
-        parts: dict[bytes, tuple[str, str]] = {}
-        other, cores, tails = [], set(), set()
+        plain: list[tuple[bytes, str, str]] = []
+        other: list[bytes] = []
+        cores: set[str] = set()
+        known = self.cores
         for word in words - self.words.keys():
             text = word.decode()
             core = text.rstrip(".,;:!?")
-            low = self._plain(core) if core else None
-            if low is None:
-                other.append((word, text))
-            else:
-                parts[word] = low, text[len(core) :]
+            low = core.lower()
+            if low in known and core.isalpha():
+                self.words[word] = known[low] + self._tail(text[len(core) :])
+            elif core and self._plain(core):
                 cores.add(low)
-                tails.add(text[len(core) :])
-        self._encode_cores(sorted(cores - self.cores.keys()))
-        tail = {t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if t else b"" for t in tails}
-        for word, (low, end) in parts.items():
-            self.words[word] = self.cores[low] + tail[end]
+                plain.append((word, low, text[len(core) :]))
+            else:
+                other.append(word)
+        self._encode_cores(sorted(cores))
+        for word, low, end in plain:
+            self.words[word] = known[low] + self._tail(end)
         if other:
-            for (word, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
+            for word, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
                 self.words[word] = np.array(e.ids, dtype="<u4").tobytes()
 
+    def _tail(self, text: str) -> bytes:
+        if text not in self.tails:
+            if len(self.tails) > HELD:
+                self.tails.clear()
+            self.tails[text] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
+        return self.tails[text]
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [t.split() for t in texts]
         new = set().union(*split)
