@@ -106,6 +106,18 @@ def spliced(text: Column, keys: Column, end: Column, other: Column, other_keys:
     return F.when((end >= span) & (taken >= span), _let(winnowed(joint), joined)).otherwise(winnowed(whole))
 
 
+def _numbers(values: list[int]) -> Column:
+    """An array that the optimizer folds to one literal, however many values."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
+def _count_upto(cuts: list[int], value: Column, block: int = 64) -> Column:
+    """How many of the sorted cuts are at most a value: first by blocks, then within one."""
+    blocks = F.size(F.filter(_numbers(cuts[::block]), lambda x: x <= value))
+    within = F.size(F.filter(F.slice(_numbers(cuts), (blocks - 1) * block + 1, F.lit(block)), lambda x: x <= value))
+    return F.when(value < (cuts[0] if cuts else 0), 0).otherwise((blocks - 1) * block + within) if cuts else F.lit(0)
+
+
 def with_next(rows: DataFrame, columns: list[str], per_partition: int = 4) -> DataFrame:
     """Adds ``next_<column>`` of the row that follows by (did, text); the first follows the last.
 
@@ -119,12 +131,12 @@ def with_next(rows: DataFrame, columns: list[str], per_partition: int = 4) -> Da
         return rows.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
     lowest = found[0]
     cuts = sorted({x for x in found[1] if x > lowest})
-    bounds = F.array(*[F.lit(x).cast("long") for x in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(bounds, lambda x: x <= F.col("did")))
+    bucket = _count_upto(cuts, F.col("did"))
     place = lambda b, kind: F.struct(b.cast("int").alias("bucket"), F.lit(kind).alias("kind"))
     own = F.array(place(F.col("bucket"), 0))
+    starts = F.get(_numbers(cuts), F.col("bucket") - 1) == F.col("did")
     extra = F.when(F.col("did") == lowest, F.concat(own, F.array(place(F.lit(len(cuts)), 2)))).when(
-        F.array_contains(bounds, F.col("did")), F.concat(own, F.array(place(F.col("bucket") - 1, 1)))
+        starts, F.concat(own, F.array(place(F.col("bucket") - 1, 1)))
     ).otherwise(own)
     placed = rows.withColumn("bucket", bucket).withColumn("at", F.explode(extra)).select(*rows.columns, "at.bucket", "at.kind")
     order = Window.partitionBy("bucket").orderBy((F.col("kind") == 2).cast("int"), "did", "text")

@@ -216,3 +216,9 @@ def test_quality_rules(spark, small):
     assert sum(x.kept for x, q in rows if q == 0) <= 0.1 * max(1, sum(q == 0 for _, q in rows))
     alone = quality_rules.quality_rules(docs, known.limit(0)).collect()
     assert all(r.kept == (not r.base_failed) for r in alone)
+
+
+def test_bucket_search(spark):
+    cuts = [3 * i for i in range(200)]
+    got = spark.range(-5, 700).select("id", fingerprints._count_upto(cuts, F.col("id")).alias("n")).collect()
+    assert all(r.n == sum(c <= r.id for c in cuts) for r in got)
