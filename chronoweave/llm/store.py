@@ -21,9 +21,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_MADE: set[str] = set()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/chronoweave/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; ``clear`` deletes it once nothing reads it any more."""
+    path = f"{shared_dir(spark).rstrip('/')}/chronoweave/{name}-{uuid.uuid4().hex}"
+    _MADE.add(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables this process has written in the shared folder. Results that still read them must be written before."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """The pipeline's stages on a small table: each keeps its contract and its decisions take effect."""
 
+import os
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from chronoweave.llm import store
 from chronoweave.llm.store import settle
 
 
@@ -44,3 +46,11 @@ def test_empty(spark, docs, small):
     for _, stage in corpus_pipeline.STAGES:
         held = stage(spark, held, small)
     assert held.count() == 0
+
+
+def test_clear(spark):
+    df = settle(spark.range(3), "three")
+    assert df.count() == 3 and store._MADE
+    path = df.inputFiles()[0].removeprefix("file://")
+    store.clear(spark)
+    assert not os.path.exists(path) and not store._MADE
