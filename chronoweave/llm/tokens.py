@@ -19,7 +19,7 @@ from chronoweave.llm.keyed import ddl
 from chronoweave.llm.vector import batch_of, lean, parcels, table_rows
 
 TOKENIZER, END_ID, MOST = "word_bpe_49k.json", 1, 4096
-HELD, HELD_CORES = 400_000, 1_000_000
+HELD, HELD_CORES = 250_000, 500_000
 PIECE_BYTES = 1 << 20
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
