@@ -19,6 +19,9 @@ from chronoweave.llm.tokens import pieces_of
 #: A document whose nearest language is this far out of place, or that has no letter, is rejected.
 LEAST_SCORE = 0.2
 
+#: Documents that are alike to this per cent or more are near copies; op5 alone asks for 85.
+ALIKE = 80
+
 
 def _keys(docs: DataFrame) -> DataFrame:
     """The documents with did and k1, as in ``llm.keyed``."""
@@ -37,8 +40,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each component, and one row of those that repeat id and text."""
-    kept = near_dedup(docs).filter("kept").select(F.col("did").alias("_did"), F.col("k1").alias("_k1")).distinct()
+    """Keeps the document with the smallest id of each component, and one row of those that repeat id and text.
+
+    Documents are linked from ``ALIKE`` per cent on.
+    """
+    kept = near_dedup(docs, threshold=ALIKE).filter("kept").select(F.col("did").alias("_did"), F.col("k1").alias("_k1")).distinct()
     # A component's smallest id may stand in several rows with different texts; they are kept if each speaks for it.
     return _keys(docs).join(kept, ["_did", "_k1"], "left_semi").dropDuplicates(["_did", "_k1"]).select(*docs.columns)
 

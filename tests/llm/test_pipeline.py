@@ -41,6 +41,26 @@ def test_stages(spark, docs, small):
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
 
 
+def test_near_duplicates_by_brute_force(spark, small):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i * 7 % 26)}" for i in range(400)]
+    # Each change of one word takes five shingles of 196: 4 leave 176 of 216 alike, 5 leave 171 of 221.
+    texts = []
+    for n in range(8):
+        own = words[n * 25 : n * 25 + 200]
+        texts.append(own)
+        texts.append([f"x{n}" if i in range(10, 10 + 20 * (n + 1), 20) else w for i, w in enumerate(own)])
+    rows = [(i, " ".join(t), "en", "src0", 0) for i, t in enumerate(texts)]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    assert any(0.8 <= alike(a, b) < 0.85 for a in sets for b in sets)
+    least = list(range(len(rows)))
+    for _ in rows:
+        least = [min(least[j] for j in range(len(rows)) if alike(sets[i], sets[j]) >= 0.8) for i in range(len(rows))]
+    table = spark.read.parquet(f"{small}/documents.parquet")
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, table.schema), small)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least))
+
+
 def test_empty(spark, docs, small):
     held = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
