@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 TREES, DEPTH, SEED, CUTOFF, CONTEXT = 20, 5, 11, 0.5, 48
 
 _NAME = r"(?i:\b[A-Za-z0-9_.-]{0,24}(?:key|secret|token|passw(?:or)?d|passwd|pwd|credential|bearer|auth)s?)"
-#: Kinds of candidates, first that matches; a value is what follows the name and its sign, or the whole match.
+_SIGN = r"[\"']?\s{0,3}(?>:=|=>|:|=|\s)\s{0,3}"
+#: What stands after a name and its sign: all between quotes that close on the line, or what runs to a space or a delimiter.
+_VALUE = r"(?:\"(?:[^\"\\\r\n]|\\.){8,}+(?=\")|'(?:[^'\\\r\n]|\\.){8,}+(?=')|[\"']?[^\s\"'`,;()<>\[\]{}|\\]{8,}+)"
+#: Kinds of candidates, first that matches; a value is what follows the name and its sign, or the whole match. No value has
+#: a greatest length: possessive runs are linear, and what a run refused would not be found again.
 KINDS = {
     "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
-    "known_form": r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,80}|xox[abprs]-[A-Za-z0-9-]{10,80}|sk-[A-Za-z0-9_-]{20,80}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})",
-    "assigned": _NAME + r"[\"']?\s{0,3}(?::|=|:=|=>|\s)\s{0,3}[\"']?[A-Za-z0-9+/=_.~-]{8,200}",
-    "long_run": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{20,200}",
+    "known_form": r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9_-]{20,}+|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)",
+    "assigned": _NAME + _SIGN + _VALUE,
+    "long_run": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+",
 }
 CANDIDATE = "|".join(KINDS.values())
 WORDS = ("example", "sample", "test", "dummy", "placeholder", "change", "your", "here", "password", "secret", "token", "key", "user", "admin", "name", "value", "string", "none", "null", "true", "false", "file", "path", "config", "default", "public", "private", "version", "number", "index", "select", "from", "where", "this", "that", "with")
@@ -46,12 +50,13 @@ def _share(value: Column, pattern: str) -> Column:
 
 def value_of(match: Column) -> Column:
     """The value of a candidate, without the name before it."""
-    return F.regexp_replace(match, F.lit(r"^" + _NAME + r"[\"']?\s{0,3}(?::|=|:=|=>|\s)\s{0,3}[\"']?"), F.lit(""))
+    return F.regexp_replace(match, F.lit(r"^" + _NAME + _SIGN + r"[\"']?"), F.lit(""))
 
 
 def _kind(match: Column) -> Column:
-    out = F.lit("long_run")
-    for name in ("assigned", "known_form", "private_key"):
+    # A quoted match ends before its closing quote, so the name and sign tell it.
+    out = F.when(match.rlike("^" + _NAME + _SIGN), "assigned").otherwise(F.lit("long_run"))
+    for name in ("known_form", "private_key"):
         out = F.when(match.rlike("^(?:" + KINDS[name] + ")$"), name).otherwise(out)
     return out
 
@@ -83,6 +88,7 @@ def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
     hexa = F.sha2(F.concat(F.lit("v"), i.cast("string")), 256)
     more = F.sha2(F.concat(F.lit("w"), i.cast("string")), 512)
     base = F.regexp_replace(F.base64(F.unhex(more)), "[^A-Za-z0-9]", "")
+    long = F.regexp_replace(F.concat(*[F.base64(F.unhex(F.sha2(F.concat(F.lit(f"x{j}-"), i.cast("string")), 512))) for j in range(8)]), "[^A-Za-z0-9]", "")
     pick = lambda salt, options: F.element_at(F.array(*[F.lit(x) for x in options]), (F.pmod(F.xxhash64(F.lit(salt), i), F.lit(len(options))) + 1).cast("int"))
     name = pick("name", ["api_key", "token", "secret", "password", "auth_token", "AWS_SECRET_ACCESS_KEY", "client_secret", "access_key", "db_password", "bearer"])
     sign = pick("sign", [" = ", "=", ": ", ' = "', '="', ":"])
@@ -92,12 +98,16 @@ def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
     word = pick("word", ["your_password_here", "example-token-value", "changeme-placeholder", "the_default_value", "config.default.name", "test-secret-string", "public_version_number", "sample_user_name_file", "some.module.path.value", "dummy_token_example"])
     kind = F.pmod(i, F.lit(10))
     size = (F.lit(16) + F.pmod(F.xxhash64(F.lit("size"), i), F.lit(40))).cast("int")
+    # One real value in four is long.
+    is_long = F.pmod(F.xxhash64(F.lit("long"), i), F.lit(4)) == 0
+    long_size = (F.lit(80) + F.pmod(F.xxhash64(F.lit("long_size"), i), F.lit(520))).cast("int")
+    base_value = F.when(is_long, F.substring(long, F.lit(1), long_size)).otherwise(F.substring(base, F.lit(1), size))
     match = (
         F.when(kind == 0, F.concat(name, sign, F.substring(hexa, F.lit(1), F.element_at(F.array(F.lit(32), F.lit(40), F.lit(64)), (F.pmod(F.xxhash64(i), F.lit(3)) + 1).cast("int")))))
-        .when(kind == 1, F.concat(name, sign, F.substring(base, F.lit(1), size)))
+        .when(kind == 1, F.concat(name, sign, base_value))
         .when(kind == 2, F.concat(F.lit("AKIA"), F.upper(F.substring(base, 1, 16))))
         .when(kind == 3, F.concat(F.lit("ghp_"), F.substring(base, 1, 36)))
-        .when(kind == 4, F.concat(F.lit("sk-"), F.substring(base, 1, 40)))
+        .when(kind == 4, F.concat(F.lit("sk-"), F.when(is_long, base_value).otherwise(F.substring(base, 1, 40))))
         .when(kind == 5, F.concat(name, sign, word))
         .when(kind == 6, F.substring(hexa, 1, 40))
         .when(kind == 7, F.concat(pick("dir", ["home/user/", "usr/local/lib/", "var/log/app/", "src/main/java/"]), F.substring(hexa, 1, 8), F.lit("/file")))

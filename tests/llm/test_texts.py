@@ -133,6 +133,21 @@ def test_secret_scan(spark):
     assert secrets_scan.findings(docs.limit(0), model).count() == 0
 
 
+def test_secrets_whole(spark):
+    model = secrets_scan.train(secrets_scan.labelled_findings(spark))
+    run = lambda n: "".join(base64.b64encode(hashlib.sha512(f"{n}-{i}".encode()).digest()).decode() for i in range(n // 80 + 1)).replace("+", "a").replace("/", "b").replace("=", "c")[:n]
+    values = [("sk-proj-" + run(150), "the {} key"), (run(300), 'api_key = "{}"'), ("ghp_" + run(260), "see {}."), (run(5000), "password: {}"), ("abcd$efg#123456789", "key = {}"), ("Xq9!z@7Lw#Pm2$Vt", "password: {}"), (r'Qz7, Lp0; (9Kd)\" x4Wm', 'secret="{}"'), (run(90) + "!" + run(90), "token='{}'")]
+    docs = spark.createDataFrame([(i, form.format(v)) for i, (v, form) in enumerate(values)], "doc_id long, text string")
+    found = secrets_scan.findings(docs, model).collect()
+    told = {(r.doc_id, r.length, r.value_sha256) for r in found}
+    assert told == {(i, len(v), hashlib.sha256(v.encode()).hexdigest()) for i, (v, _) in enumerate(values)}
+    clean = {r.doc_id: r.text for r in secrets_scan.redacted(docs, model).collect()}
+    assert clean == {i: form.format("[SECRET]") for i, (_, form) in enumerate(values)}
+    # A bare run is one candidate however long it is.
+    bare = spark.createDataFrame([(1, f"so {run(900)} it")], "doc_id long, text string")
+    assert [(r.kind, r.start, r.length) for r in secrets_scan.findings(bare, model).collect()] == [("long_run", 3, 900)]
+
+
 def test_fingerprints(spark):
     long = "".join(chr(97 + (i * i * 7 + i) % 26) for i in range(400))
     rows = [(1, long), (2, "é" + long[:200]), (3, None), (4, "short"), (5, "x" * 47), (6, "x" * 48), (7, "😀ab" * 40), (7, long), (None, "no id")]
