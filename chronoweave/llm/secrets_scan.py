@@ -75,7 +75,7 @@ def described(match: Column, left: Column, right: Column) -> list[Column]:
         (turns / F.greatest(F.length(value), F.lit(1))).alias("turns"),
         _share(F.lower(value), "(?:" + "|".join(WORDS) + ")").alias("covered"),
         (left.rlike(r"(?:[/\\]|://\S*|\.\w{1,4}=?)$") | right.rlike(r"^(?:[/\\]|\.\w{1,4}\b)") | value.rlike(r"/.*/.*/")).cast("double").alias("in_path"),
-        (F.regexp_replace(match, value, F.lit("")).rlike(NEAR_SECRET) | left.rlike(NEAR_SECRET)).cast("double").alias("near_secret"),
+        (F.left(match, F.length(match) - F.length(value)).rlike(NEAR_SECRET) | left.rlike(NEAR_SECRET)).cast("double").alias("near_secret"),
         (left.rlike(NEAR_HARMLESS) | right.rlike(NEAR_HARMLESS) | F.lower(match).rlike(NEAR_HARMLESS)).cast("double").alias("near_harmless"),
         F.when(kind == "private_key", 3.0).when(kind == "known_form", 2.0).when(kind == "assigned", 1.0).otherwise(0.0).alias("form"),
         value.rlike("^[0-9a-fA-F]+$").cast("double").alias("hexadecimal"),

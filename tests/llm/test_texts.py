@@ -148,6 +148,15 @@ def test_secrets_whole(spark):
     assert [(r.kind, r.start, r.length) for r in secrets_scan.findings(bare, model).collect()] == [("long_run", 3, 900)]
 
 
+def test_secret_values_are_no_patterns(spark):
+    model = secrets_scan.train(secrets_scan.labelled_findings(spark))
+    texts = ["token = +1-555-0100-2222", "key: abcdefgh+++", "password=*x[1]{2$\\\\", "secret: ^a.b*c?d+e", "auth = '(((((((((('"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: texts[r.doc_id][r.start : r.start + r.length] for r in secrets_scan.findings(docs, model).collect()}
+    assert found == {0: "+1-555-0100-2222", 1: "abcdefgh+++", 3: "^a.b*c?d+e", 4: "(((((((((("}
+    assert secrets_scan.redacted(docs, model).count() == len(texts)
+
+
 def test_fingerprints(spark):
     long = "".join(chr(97 + (i * i * 7 + i) % 26) for i in range(400))
     rows = [(1, long), (2, "é" + long[:200]), (3, None), (4, "short"), (5, "x" * 47), (6, "x" * 48), (7, "😀ab" * 40), (7, long), (None, "no id")]
