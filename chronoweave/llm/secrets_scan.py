@@ -1,7 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest; DataFrame and SQL functions only.
 
-A candidate is a value behind a credential's name, a token of a known form, a private key's header, or a long run of
-letters and digits. Its features: length; shares of digits, capitals and distinct characters; transitions between
+A candidate is a value behind a credential's name, a token of a known form, a private key from its BEGIN to its END line (to
+the end of the text if that is missing), or a long run of letters and digits. Its features: length; shares of digits, capitals and distinct characters; transitions between
 character classes; share covered by dictionary words; whether it lies in a path; credential words and words of harmless
 values among its neighbours; and its form. A random forest trained on labelled findings (``labelled_findings`` makes a set by
 rule; pass your own as ``labelled``) says which are real.
@@ -26,12 +26,13 @@ TREES, DEPTH, SEED, CUTOFF, CONTEXT = 20, 5, 11, 0.5, 48
 
 _NAME = r"(?i:\b[A-Za-z0-9_.-]{0,24}(?:key|secret|token|passw(?:or)?d|passwd|pwd|credential|bearer|auth)s?)"
 _SIGN = r"[\"']?\s{0,3}(?>:=|=>|:|=|\s)\s{0,3}"
+_BLOCK = r"[A-Z0-9 ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
 #: What stands after a name and its sign: all between quotes that close on the line, or what runs to a space or a delimiter.
-_VALUE = r"(?:\"(?:[^\"\\\r\n]|\\.){8,}+(?=\")|'(?:[^'\\\r\n]|\\.){8,}+(?=')|[\"']?[^\s\"'`,;()<>\[\]{}|\\]{8,}+)"
+_VALUE = r"(?![=:>\s\"']{0,8}-----BEGIN " + _BLOCK + r")(?:\"(?:[^\"\\\r\n]|\\.){8,}+(?=\")|'(?:[^'\\\r\n]|\\.){8,}+(?=')|[\"']?[^\s\"'`,;()<>\[\]{}|\\]{8,}+)"
 #: Kinds of candidates, first that matches; a value is what follows the name and its sign, or the whole match. No value has
 #: a greatest length: possessive runs are linear, and what a run refused would not be found again.
 KINDS = {
-    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    "private_key": r"-----BEGIN " + _BLOCK + r"(?s:.*?)(?:-----END " + _BLOCK + r"|\z)",
     "known_form": r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9_-]{20,}+|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)",
     "assigned": _NAME + _SIGN + _VALUE,
     "long_run": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+",
@@ -96,12 +97,23 @@ def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
     right = pick("right", ["", " and", '"', "\n", " la", ".", ";", " is used", " for login", "###"])
     harmless = pick("harm", ["sha256 ", "commit ", "md5: ", "checksum ", "uuid ", "version ", "order ", "isbn ", "digest ", "example "])
     word = pick("word", ["your_password_here", "example-token-value", "changeme-placeholder", "the_default_value", "config.default.name", "test-secret-string", "public_version_number", "sample_user_name_file", "some.module.path.value", "dummy_token_example"])
-    kind = F.pmod(i, F.lit(10))
     size = (F.lit(16) + F.pmod(F.xxhash64(F.lit("size"), i), F.lit(40))).cast("int")
     # One real value in four is long.
     is_long = F.pmod(F.xxhash64(F.lit("long"), i), F.lit(4)) == 0
     long_size = (F.lit(80) + F.pmod(F.xxhash64(F.lit("long_size"), i), F.lit(520))).cast("int")
     base_value = F.when(is_long, F.substring(long, F.lit(1), long_size)).otherwise(F.substring(base, F.lit(1), size))
+    # Private keys, bare tokens, and the harmless long runs they are to be told from.
+    lines = F.regexp_replace(F.concat(*[F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat(F.lit(f"y{j}-"), i.cast("string")), 512))), r"[=\s]", "") for j in range(10)]), "(.{64})", "$1\n")
+    owner = pick("owner", ["", "RSA ", "EC ", "OPENSSH ", "DSA ", "ENCRYPTED "])
+    body = F.concat(F.lit("\n"), F.substring(lines, F.lit(1), (F.lit(100) + F.pmod(F.xxhash64(F.lit("lines"), i), F.lit(700))).cast("int")))
+    block = F.concat(F.lit("-----BEGIN "), owner, F.lit("PRIVATE KEY-----"), body, F.when(F.pmod(F.xxhash64(F.lit("end"), i), F.lit(6)) > 0, F.concat(F.lit("\n-----END "), owner, F.lit("PRIVATE KEY-----"))).otherwise(F.lit("")))
+    raw = F.regexp_replace(F.base64(F.unhex(more)), r"[=\s]", "")
+    bare_size = (F.lit(20) + F.pmod(F.xxhash64(F.lit("bare"), i), F.lit(45))).cast("int")
+    bare = F.when(is_long, base_value).otherwise(F.element_at(F.array(F.substring(base, F.lit(1), bare_size), F.substring(raw, F.lit(1), bare_size)), (F.pmod(F.xxhash64(F.lit("form"), i), F.lit(2)) + 1).cast("int")))
+    plain = [pick(f"plain{j}", ["model", "training", "customer", "document", "weekly", "Summary", "section", "chapter", "region", "table", "results", "Annual", "report", "v2"]) for j in range(4)]
+    dash = pick("dash", ["_", "-", "/", ""])
+    long_name = F.concat(plain[0], dash, plain[1], dash, plain[2], dash, plain[3], dash, F.pmod(F.xxhash64(F.lit("number"), i), F.lit(3000)).cast("string"))
+    kind = F.pmod(i, F.lit(15))
     match = (
         F.when(kind == 0, F.concat(name, sign, F.substring(hexa, F.lit(1), F.element_at(F.array(F.lit(32), F.lit(40), F.lit(64)), (F.pmod(F.xxhash64(i), F.lit(3)) + 1).cast("int")))))
         .when(kind == 1, F.concat(name, sign, base_value))
@@ -112,11 +124,17 @@ def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
         .when(kind == 6, F.substring(hexa, 1, 40))
         .when(kind == 7, F.concat(pick("dir", ["home/user/", "usr/local/lib/", "var/log/app/", "src/main/java/"]), F.substring(hexa, 1, 8), F.lit("/file")))
         .when(kind == 8, F.regexp_replace(hexa, "[a-f]", "7"))
+        .when(kind == 10, block)
+        .when(kind == 11, bare)
+        .when(kind == 14, F.substring(hexa, F.lit(1), bare_size))
+        .when(kind == 12, long_name)
+        .when(kind == 13, F.when(is_long, F.regexp_replace(F.substring(hexa, F.lit(1), bare_size), "[a-f]", "3")).otherwise(F.substring(raw, F.lit(1), bare_size)))
         .otherwise(F.concat(F.lit("token "), word))
     )
-    label = (kind <= 4).cast("double")
-    # One real finding in eight stands beside a harmless word as well.
-    before = F.when(kind.isin(6, 8) | ((kind <= 4) & (F.pmod(F.xxhash64(F.lit("near"), i), F.lit(8)) == 0)), harmless).when(kind == 7, F.lit("/")).otherwise(left)
+    real = (kind <= 4) | kind.isin(10, 11, 14)
+    label = real.cast("double")
+    # One real finding in eight stands beside a harmless word as well, but a bare token there is a checksum or a version.
+    before = F.when(kind.isin(6, 8) | ((kind == 13) & ~is_long) | (real & ~kind.isin(11, 14) & (F.pmod(F.xxhash64(F.lit("near"), i), F.lit(8)) == 0)), harmless).when(kind == 7, F.lit("/")).otherwise(left)
     return spark.range(n).select(match.alias("match"), before.alias("left"), right.alias("right"), label.alias("label"))
 
 
