@@ -267,6 +267,21 @@ def test_quality_rules(spark, small):
     assert all(r.kept == (not r.base_failed) for r in alone)
 
 
+def test_quality_threshold_reads_all_trusted(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    known = spark.read.parquet(f"{small}/labels.parquet")
+    few = quality_rules.trusted_ids(known, 3)
+    monkeypatch.setattr(quality_rules, "trusted_ids", lambda labels: few)
+    got = quality_rules.quality_rules(docs, known, spread=0.0).collect()
+    good = {r.doc_id for r in known.collect() if r.quality == 1}
+    own = [r.score for r in got if r.doc_id in good and not r.base_failed]
+    assert len(own) > len(few)
+    least = round(sum(own) / len(own), 9)
+    apart = [r for r in got if abs(r.score - least) > 2e-9]
+    assert len(apart) >= len(got) - 1
+    assert all(r.kept == (not r.base_failed and r.score > least) for r in apart)
+
+
 def test_bucket_search(spark):
     cuts = [3 * i for i in range(200)]
     got = spark.range(-5, 700).select("id", fingerprints._count_upto(cuts, F.col("id")).alias("n")).collect()
