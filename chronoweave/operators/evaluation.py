@@ -51,7 +51,7 @@ def reliability(rows: DataFrame, bins: int = 10, y: str = "y", p: str = "probabi
     return rows.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"), F.sum(F.col(y)).cast("long").alias("events"), (F.sum(weight * F.col(p)) / F.sum(weight)).alias("mean_score"), (F.sum(weight * F.col(y)) / F.sum(weight)).alias("rate"))
 
 
-def bootstrap_brier(rows: DataFrame, entity: str, replicates: int = 200, seed: int = 20260927, level: float = 0.95, strata: str | None = None) -> DataFrame:
+def bootstrap_brier(rows: DataFrame, entity: str, replicates: int = 1000, seed: int = 20260927, level: float = 0.95, strata: str | None = None) -> DataFrame:
     """Percentile interval of the Brier score when entities are drawn anew (within strata).
 
     A draw is a hash of seed, replicate and place, so every run draws the same; rows are never repeated, they are weighted by how

@@ -217,3 +217,9 @@ def test_no_loops_over_pairs_in_plans(spark, small):
     for name in ("label_grid", "panel_versions", "filing_metrics", "restatement_events"):
         plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_bootstrap_replicates(spark, small):
+    """As many as the reference's configuration asks for; the interval is that of its draws."""
+    got = evaluation.bootstrap_brier(Tables(spark, small).prediction, "krs").first()
+    assert got.replicates == 1000 and got.low <= got.middle <= got.high
