@@ -59,18 +59,27 @@ def test_warc_stream(compressed):
         list(warc.records(io.BytesIO(one[:-200_000]), False, lambda h: True, lambda h: True))
 
 
-def test_packing_plan():
-    counts = {4096: 3, 4000: 2, 96: 5, 2048: 5, 1: 10, 700: 11}
-    plan = packing.sweep(counts)
+@pytest.mark.parametrize("counts", [{4096: 3, 4000: 2, 96: 5, 2048: 5, 1: 10, 700: 11}, {2100: 50, 1996: 50}, {1400: 40, 1396: 40, 1290: 40, 4: 120}, {i: 1 + i * i % 7 for i in range(1, 4097, 13)}])
+def test_packing_plan(spark, counts):
+    plan = [(r.size, r.first, r.n, r.sequence, r.place) for r in packing.plan(spark.createDataFrame(list(counts.items()), "length long, n long")).collect()]
     room, given = Counter(), Counter()
-    for length, rank, n, first, offset in plan:
+    for length, rank, n, first, offset in sorted(plan, key=lambda x: x[4]):
         for i in range(n):
             assert room[first + i] == offset
             room[first + i] += length
             given[length, rank + i] += 1
     assert max(room.values()) <= 4096 and set(given.values()) == {1}
     assert Counter(length for length, _ in given) == counts
-    assert len(room) == -(-sum(n * k for n, k in counts.items()) // 4096)
+    # As many sequences as best fit over all pieces in one go, longest first.
+    whole, _, _ = packing.sweep([(length, 0, n) for length, n in counts.items()], [], opens=0)
+    assert len(room) == sum(n for *_, n, _, offset in whole if offset == 0)
+    if len(counts) < 100:
+        assert len(room) == -(-sum(n * k for n, k in counts.items()) // 4096)
+
+
+def test_packing_refuses_what_fits_nowhere(spark):
+    with pytest.raises(ValueError, match="4097"):
+        packing.plan(spark.createDataFrame([(4097, 1)], "length long, n long"))
 
 
 def test_packing_round_trip(spark):
