@@ -43,7 +43,7 @@ _HIT = pa.schema([("k1", pa.int64()), ("did", pa.int64()), ("block", pa.int32())
 _WINDOW = pa.schema([("bucket", pa.int32()), ("part", pa.int64()), ("found", pa.binary()), ("docs", pa.binary())])
 _FOUND = pa.schema([("part", pa.int64()), ("found", pa.binary()), ("docs", pa.binary())])
 _RUNS = pa.schema([("k1", pa.int64()), ("did", pa.int64()), ("runs", pa.binary())])
-_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
+_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("n_spans", pa.int64()), ("kept", pa.string())])
 
 
 def _doc_of_word(words: Words) -> np.ndarray:
@@ -239,13 +239,13 @@ def _cut_words(batches: Iterable[pa.RecordBatch], with_text: bool) -> Iterator[p
                 removed += int(j - i)
                 at = j
             kept = b" ".join(kept + words[at:] if at else words)
-            out.append((doc_id, len(words), removed, len(spans), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
+            out.append((doc_id, len(words), removed, hashlib.sha256(kept).hexdigest(), len(spans), kept.decode() if with_text else None))
         if out:
             yield batch_of(_KEPT, list(zip(*out, strict=True)))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """doc_id, n_words, n_removed, n_spans, kept_sha256 and, if asked for, the kept text, for each document.
+    """doc_id, n_words, n_removed, kept_sha256, n_spans and, if asked for, the kept text, for each document.
 
     ``window`` is 3 words at least. The plan shuffles the texts once (both joins use one exchange).
     """
