@@ -81,13 +81,33 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(_COUNT, [[lang] * len(names), names, n])
 
 
+def first_ids(known: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, lang): the ``sample`` ids of each language with the least hashes, or all if it has fewer.
+
+    Hashes are even, so those below eight times the share that is wanted hold enough; only they are ranked, a few thousand for a
+    language however large it is. A language that repeats ids so often that they don't is looked through with a wider share.
+    """
+    ids = known.filter("doc_id is not null").select(F.col("doc_id"), "lang")
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(float(2**63))
+    counts = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    wide = {lang: 8.0 * sample / n for lang, n in counts.items()}
+    while True:
+        below = F.create_map(*[F.lit(x) for lang, w in wide.items() for x in (lang, w)]) if wide else F.create_map().cast("map<string,double>")
+        some = ids.filter(share < F.element_at(below, F.col("lang"))).distinct()
+        ranked_ids = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("rank") <= sample)
+        held = {r["lang"]: r["n"] for r in ranked_ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        few = [lang for lang, w in wide.items() if w < 1 and held.get(lang, 0) < sample]
+        if not few:
+            return ranked_ids.select("doc_id", "lang")
+        wide |= {lang: 8 * wide[lang] for lang in few}
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE, top: int = TOP) -> dict[str, np.ndarray]:
     """Profiles from (doc_id, text, lang); rows without a language or a text teach nothing."""
     known = labelled.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample).select("doc_id", "lang")
+    ids = first_ids(known, sample)
     # langs * sample rows of two short columns
-    chosen = known.join(F.broadcast(ids.distinct()), ["doc_id", "lang"], "left_semi")
+    chosen = known.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
     counts = chosen.select("lang", F.col("text").cast("string")).mapInArrow(_count, ddl(_COUNT)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     rows = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).select("lang", "gram", "rank").collect()
@@ -126,13 +146,13 @@ def _say(batches: Iterable[pa.RecordBatch], profiles: dict[str, np.ndarray], top
             yield batch_of(_SAID, list(zip(*((doc_id, *judge(text)) for doc_id, text in table_rows([batch])), strict=True)))
 
 
-def _add(batches: Iterable[pa.RecordBatch], profiles: dict[str, np.ndarray], top: int, text: str) -> Iterator[pa.RecordBatch]:
+def _add(batches: Iterable[pa.RecordBatch], profiles: dict[str, np.ndarray], top: int, text: str, added: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     judge = _judge(profiles, top)
     for batch in batches:
         if len(batch):
             said = [judge(t) for t in batch[text].to_pylist()]
-            names, scores = zip(*said, strict=True)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "_lang_pred", "_lang_score"])
+            langs, scores = zip(*said, strict=True)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, *added])
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP) -> DataFrame:
@@ -141,7 +161,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP) ->
     return texts.mapInArrow(lambda it: _say(it, profiles, top), ddl(_SAID))
 
 
-def annotate(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP, text: str = "text") -> DataFrame:
-    """The documents, all columns, with ``_lang_pred`` and ``_lang_score``."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
-    return docs.mapInArrow(lambda it: _add(it, profiles, top, text), schema)
+def annotate(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP, text: str = "text", names: tuple[str, str] = ("_lang_pred", "_lang_score")) -> DataFrame:
+    """The documents, all columns, with the language and its score under two ``names`` that no column has."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.mapInArrow(lambda it: _add(it, profiles, top, text, names), schema)

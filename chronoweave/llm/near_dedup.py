@@ -6,7 +6,8 @@ per cent or more; a component is what links reach.
 
 1. *Sign.* ``ROWS * BANDS`` minima for each set; the low ``BITS`` bits of each are packed into a signature, groups of
    ``ROWS`` full minima make band keys. Documents with equal sets are one class from here on: copies are
-   never expanded into pairs.
+   never expanded into pairs. Sets are equal if 128 bits of digest are; the first 64 name the class in the graph, and where
+   two classes share those, both take a name from all 128.
 2. *Band.* Classes that share a band key are candidates. Within a band group, signatures are compared by bit counts,
    corrected for the collisions that ``BITS`` bits have by chance, and only a spanning forest of the pairs above
    ``threshold`` less ``MARGIN`` leaves the group. Groups over ``MOST`` aren't compared: their members are joined to
@@ -19,8 +20,7 @@ At similarity 0.85 the bands miss a pair once in 10**10 and the margin, six stan
 where the pipeline's stage links, the bands miss one in 2 * 10**7 and the margin is over five standard deviations.
 
 Null ids count as no id for ``component_id``, which is the smallest id in the component; rows that repeat an id or a text
-are rows like others. Extra columns are ignored. An empty table gives an empty result. Nodes of the graph are 64-bit
-fingerprints of sets (a chance of 3 in 100 of any clash among 10**9 documents).
+are rows like others. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.llm.components import components
@@ -49,7 +49,7 @@ _RNG = np.random.Generator(np.random.PCG64(5))
 _MULTIPLIERS = _RNG.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_CODE = _RNG.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-_SIGNED = "did long, k1 long, doc_id long, n long, node long, sig binary, bands array<long>"
+_SIGNED = "did long, k1 long, doc_id long, n long, node long, more long, sig binary, bands array<long>"
 _EDGE = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -94,24 +94,27 @@ def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (1 - unlike / len(_MULTIPLIERS) - by_chance) / (1 - by_chance)
 
 
-def _sign(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.int64())]
-    names = ["did", "k1", "doc_id", "n", "node", "sig", "bands"]
+def _sign(batches: Iterable[pa.RecordBatch], size: int, node_bits: int) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64()] * 6 + [pa.binary(), pa.list_(pa.int64())]
+    names = ["did", "k1", "doc_id", "n", "node", "more", "sig", "bands"]
     for rows in parcels(((a, b, c, t.encode()) for a, b, c, t in table_rows(batches)), lambda r: len(r[3]) + 64, PIECE_BYTES):
         sets = shingle_sets([r[3] for r in rows], size)
         full = [i for i, s in enumerate(sets) if len(s)]
         sig: list = [None] * len(rows)
         bands: list = [None] * len(rows)
         node: list = [None] * len(rows)
+        more: list = [None] * len(rows)
         if full:
             least = minima([sets[i] for i in full])
             packed = signatures(least)
             keys = mixed((least.reshape(len(full), BANDS, ROWS) * _BAND_CODE).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             for j, i in enumerate(full):
                 sig[i], bands[i] = packed[j].tobytes(), keys[j]
-                node[i] = int.from_bytes(hashlib.blake2b(sets[i].tobytes(), digest_size=8).digest(), "little", signed=True)
+                digest = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
+                node[i] = int.from_bytes(digest[:8], "little", signed=True) >> (64 - node_bits)
+                more[i] = int.from_bytes(digest[8:], "little", signed=True)
         did, k1, doc_id, _ = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([did, k1, doc_id, [len(s) for s in sets], node, sig, bands], kinds, strict=True)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([did, k1, doc_id, [len(s) for s in sets], node, more, sig, bands], kinds, strict=True)], names)
 
 
 def _forest(n: int, linked) -> list[tuple[int, int]]:
@@ -244,7 +247,9 @@ def _confirmed(members: DataFrame, size: int, threshold: int, bits: int) -> Data
     tested = settle(tested.mapInArrow(lambda it: _with_center(it, size, threshold), "cluster long, node long, text string, joined boolean"), "large-clusters")
     to_center = tested.filter("joined").join(large.select("cluster", "center"), "cluster").select(F.col("node").alias("u"), F.col("center").alias("v"))
     # Blocks: every member that isn't joined meets every other member in some task.
-    sides = tested.groupBy("cluster").agg(F.ceil(F.count_if("joined") / BLOCK).alias("a"), F.ceil(F.count_if(~F.col("joined")) / BLOCK).alias("b"))
+    # A side has a block for each ``BLOCK`` members or ``TASK_BYTES`` of text, whichever makes more; one with a member has one.
+    blocks_of = lambda side: F.ceil(F.greatest(F.count_if(side) / BLOCK, F.coalesce(F.sum(F.when(side, F.octet_length("text"))), F.lit(0)) / TASK_BYTES)).cast("long")
+    sides = tested.groupBy("cluster").agg(blocks_of(F.col("joined")).alias("a"), blocks_of(~F.col("joined")).alias("b"))
     block = F.when(F.col("joined"), F.pmod(F.xxhash64("node"), F.greatest("a", F.lit(1)))).otherwise(F.pmod(F.xxhash64("node"), F.greatest("b", F.lit(1))))
     placed = tested.join(sides.filter("b > 0"), "cluster").withColumn("x", block)
     other = F.sequence(F.lit(0).cast("long"), F.col("b") - 1)
@@ -259,16 +264,33 @@ def _confirmed(members: DataFrame, size: int, threshold: int, bits: int) -> Data
     return by_group(small.select(columns).unionByName(blocks.select(columns)), "task", work, _EDGE).unionByName(to_center)
 
 
-def near_dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row, and did and k1, the row's key (see ``keyed``)."""
+def _classes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed rows and their classes, a row for each set, with names no two classes share."""
+    while True:
+        own = signed.filter("node is not null").groupBy("node")
+        classes = own.agg(
+            F.min("doc_id").alias("root"), F.min(F.struct("did", "k1")).alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), (F.min("more") != F.max("more")).alias("clash")
+        )
+        classes = settle(classes, "classes")
+        clash = classes.filter("clash").select("node", "clash")
+        if clash.isEmpty():
+            return signed, classes.drop("clash")
+        named = signed.join(clash, "node", "left").withColumn("node", F.when(F.col("clash"), F.xxhash64("node", "more")).otherwise(F.col("node")))
+        signed = settle(named.select(*signed.columns), "signed")
+
+
+def near_dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD, node_bits: int = 64) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row, and did and k1, the row's key (see ``keyed``).
+
+    ``node_bits``: bits of a digest that name a class at first.
+    """
     keyed = with_key(docs)
     bits = bucket_bits(total_bytes(docs), TASK_BYTES)
-    signed = settle(keyed.mapInArrow(lambda it: _sign(it, size), _SIGNED), "signed")
-    classes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("root"), F.min(F.struct("did", "k1")).alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    classes = settle(classes, "classes")
-    own = Window.partitionBy("band")
-    banded = classes.select("node", F.explode("bands").alias("band")).withColumn("n", F.count("*").over(own)).withColumn("least", F.min("node").over(own)).filter("n > 1")
-    banded = cut(banded)
+    signed, classes = _classes(settle(keyed.mapInArrow(lambda it: _sign(it, size, node_bits), _SIGNED), "signed"))
+    banded = classes.select("node", F.explode("bands").alias("band"))
+    # Counted by partial sums and met by a join that can be split, so no band, however many share it, is one task's.
+    shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
+    banded = cut(banded.join(shared, "band").select("node", "band", "n", "least"))
     huge = banded.filter((F.col("n") > MOST) & (F.col("node") != F.col("least"))).select(F.col("node").alias("u"), F.col("least").alias("v"))
     some = banded.filter(F.col("n") <= MOST).join(classes.select("node", "sig"), "node")
     some = some.select(F.pmod(F.xxhash64("band"), F.lit(1 << bits)).alias("task"), "band", "node", "sig")

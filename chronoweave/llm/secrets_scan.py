@@ -167,32 +167,38 @@ def as_sql(model, of: str) -> str:
     return "(" + " + ".join(tree(t) for t in trees) + f") / {len(trees)}.0D"
 
 
-def scanned(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """The documents with ``findings`` (array of n, kind, value, start, length, score) and ``pieces``, the text between them."""
+def scanned(docs: DataFrame, model, text: str = "text", names: tuple[str, str] = ("findings", "pieces")) -> DataFrame:
+    """The documents with two more columns under ``names``, which none of theirs may have: an array of findings (n, kind,
+    value, start, length, score, match), and the pieces of text between them."""
+    findings, pieces = names
+    taken = {c.lower() for c in [*docs.columns, *names]}
+    own = []
+    for name in ("_found", "_near", "_told", "_starts", "_scores"):
+        while name in taken:
+            name += "_"
+        own.append(name)
+    found, near, told, starts, scores = own
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    found = F.regexp_extract_all(whole, F.lit(f"(?:{CANDIDATE})"), F.lit(0))
-    rows = docs.withColumn("_found", found)
-    rows = rows.withColumn("pieces", F.when(F.size("_found") > 0, F.split(whole, f"(?:{CANDIDATE})", -1)).otherwise(F.array(whole)))
-    left = lambda i: F.right(F.get(F.col("pieces"), i), F.lit(CONTEXT))
-    right = lambda i: F.left(F.get(F.col("pieces"), i + 1), F.lit(CONTEXT))
-    near = F.transform("_found", lambda m, i: F.struct(m.alias("match"), left(i).alias("left"), right(i).alias("right"), i.alias("n")))
-    rows = rows.withColumn("_near", near)
-    told = F.transform("_near", lambda c: F.struct(c["n"].alias("n"), c["match"].alias("match"), *described(c["match"], c["left"], c["right"])))
-    rows = rows.withColumn("_told", told)
+    rows = docs.withColumn(found, F.regexp_extract_all(whole, F.lit(f"(?:{CANDIDATE})"), F.lit(0)))
+    rows = rows.withColumn(pieces, F.when(F.size(found) > 0, F.split(whole, f"(?:{CANDIDATE})", -1)).otherwise(F.array(whole)))
+    left = lambda i: F.right(F.get(F.col(pieces), i), F.lit(CONTEXT))
+    right = lambda i: F.left(F.get(F.col(pieces), i + 1), F.lit(CONTEXT))
+    rows = rows.withColumn(near, F.transform(found, lambda m, i: F.struct(m.alias("match"), left(i).alias("left"), right(i).alias("right"), i.alias("n"))))
+    rows = rows.withColumn(told, F.transform(near, lambda c: F.struct(c["n"].alias("n"), c["match"].alias("match"), *described(c["match"], c["left"], c["right"]))))
     # Where each match starts: lengths of all pieces and matches before it.
     step = lambda acc, x: F.struct((acc["at"] + x["size"]).alias("at"), F.concat(acc["all"], F.array(acc["at"] + x["gap"])).alias("all"))
-    sizes = F.transform("_found", lambda m, i: F.struct((F.length(F.get(F.col("pieces"), i)) + F.length(m)).cast("long").alias("size"), F.length(F.get(F.col("pieces"), i)).cast("long").alias("gap")))
+    sizes = F.transform(found, lambda m, i: F.struct((F.length(F.get(F.col(pieces), i)) + F.length(m)).cast("long").alias("size"), F.length(F.get(F.col(pieces), i)).cast("long").alias("gap")))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all"))
-    rows = rows.withColumn("_starts", F.when(F.size("_found") > 0, F.aggregate(sizes, zero, step, lambda acc: acc["all"])))
+    rows = rows.withColumn(starts, F.when(F.size(found) > 0, F.aggregate(sizes, zero, step, lambda acc: acc["all"])))
     score = as_sql(model, "c")
-    rows = rows.withColumn("_scores", F.expr(f"transform(_told, c -> {score})"))
+    rows = rows.withColumn(scores, F.expr(f"transform({told}, c -> {score})"))
 
     def finding(c: Column) -> Column:
         value = value_of(c["match"])
-        start = F.get(F.col("_starts"), c["n"]) + F.length(c["match"]) - F.length(value)
-        return F.struct(c["n"].alias("n"), _kind(c["match"]).alias("kind"), value.alias("value"), start.cast("long").alias("start"), F.length(value).cast("long").alias("length"), F.get(F.col("_scores"), c["n"]).alias("score"), c["match"].alias("match"))
+        start = F.get(F.col(starts), c["n"]) + F.length(c["match"]) - F.length(value)
+        return F.struct(c["n"].alias("n"), _kind(c["match"]).alias("kind"), value.alias("value"), start.cast("long").alias("start"), F.length(value).cast("long").alias("length"), F.get(F.col(scores), c["n"]).alias("score"), c["match"].alias("match"))
 
-    return rows.withColumn("findings", F.transform("_told", finding)).drop("_found", "_near", "_told", "_starts", "_scores")
+    return rows.withColumn(findings, F.transform(told, finding)).drop(*own)
 
 
 def findings(docs: DataFrame, model, cutoff: float = CUTOFF) -> DataFrame:
@@ -203,12 +209,18 @@ def findings(docs: DataFrame, model, cutoff: float = CUTOFF) -> DataFrame:
 
 def redacted(docs: DataFrame, model, cutoff: float = CUTOFF, mark: str = "[SECRET]", text: str = "text") -> DataFrame:
     """The documents with every secret's value replaced by a mark; a text without secrets, and a null, stays as it is."""
-    rows = scanned(docs, model, text)
+    names = []
+    for name in ("findings", "pieces"):
+        while name in {c.lower() for c in docs.columns}:
+            name += "_"
+        names.append(name)
+    found, pieces = names
+    rows = scanned(docs, model, text, (found, pieces))
 
     def shown(f: Column) -> Column:
         return F.when(f["score"] > cutoff, F.concat(F.left(f["match"], F.length(f["match"]) - F.length(f["value"])), F.lit(mark))).otherwise(f["match"])
 
-    texts = F.concat(F.transform("findings", shown), F.array(F.lit("")))
-    joined = F.array_join(F.flatten(F.zip_with("pieces", texts, lambda p, r: F.array(p, r))), "")
-    any_secret = F.exists("findings", lambda f: f["score"] > cutoff)
-    return rows.withColumn(text, F.when(any_secret, joined).otherwise(F.col(text))).drop("findings", "pieces")
+    texts = F.concat(F.transform(found, shown), F.array(F.lit("")))
+    joined = F.array_join(F.flatten(F.zip_with(pieces, texts, lambda p, r: F.array(p, r))), "")
+    any_secret = F.exists(found, lambda f: f["score"] > cutoff)
+    return rows.withColumn(text, F.when(any_secret, joined).otherwise(F.col(text))).drop(found, pieces)

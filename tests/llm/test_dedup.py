@@ -147,6 +147,17 @@ def test_near_dedup(docs, monkeypatch, most, block):
         assert got == brute_components(rows_of(docs), threshold)
 
 
+def test_near_dedup_blocks_by_bytes(docs, monkeypatch):
+    monkeypatch.setattr(near, "TASK_BYTES", 300)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near.near_dedup(docs, threshold=60).collect())
+    assert got == brute_components(rows_of(docs), 60)
+
+
+def test_near_dedup_names_that_clash(docs):
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near.near_dedup(docs, threshold=60, node_bits=3).collect())
+    assert got == brute_components(rows_of(docs), 60)
+
+
 def test_estimates_follow_similarity():
     import numpy as np
 

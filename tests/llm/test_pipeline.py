@@ -11,12 +11,16 @@ from chronoweave.llm import store
 from chronoweave.llm.store import settle
 
 
+#: Names that stages might give to columns of their own.
+CLASHING = ["extra", "pieces", "findings", "_found", "_copies", "_copy", "_row", "_more", "_did", "_k1", "_lang_pred", "_LANG_SCORE", "rank", "size", "source_size", "target", "copies", "length"]
+
+
 @pytest.fixture(scope="module")
 def docs(spark, small):
     table = spark.read.parquet(f"{small}/documents.parquet")
     key = "4f9d1c0e7ab35268f1e09b7dd8c4a6355e2f7b10"
     odd = [(10**6, None, "en", "src0", 0), (10**6 + 1, "", None, None, 0), (10**6 + 2, f'The token = "{key}" of the thing and that with it', "en", None, 60), (10**6 + 3, "### 123", "en", "src1", 7)]
-    return table.unionByName(spark.createDataFrame(odd, table.schema)).unionByName(table.limit(3)).withColumn("extra", F.lit(1))
+    return table.unionByName(spark.createDataFrame(odd, table.schema)).unionByName(table.limit(3)).withColumns({c: F.concat(F.lit("own "), "doc_id") for c in CLASHING})
 
 
 def test_stages(spark, docs, small):
@@ -25,6 +29,7 @@ def test_stages(spark, docs, small):
         before = held
         held = settle(stage(spark, before, small), name)
         assert held.columns == docs.columns
+        assert held.filter(" or ".join(f"`{c}` <> concat('own ', doc_id)" for c in CLASHING)).count() == 0
         counts[name] = (before, held)
     before, after = counts["language_id"]
     gone = {r.doc_id for r in before.join(after, "doc_id", "left_anti").collect()}

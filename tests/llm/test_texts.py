@@ -121,6 +121,50 @@ def test_language_id(spark, small):
     assert {r.lang_pred for r in language_id.predict(docs, {}).collect()} == {"und"}
 
 
+def test_language_sample(spark):
+    rows = [(i % 4000, "x", "en") for i in range(9000)] + [(i, "y", "de") for i in range(30)] + [(7, "z", "fr")] * 9000 + [(None, "w", "en")]
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.first_ids(known, 50).collect()
+    by = {lang: {r.doc_id for r in got if r.lang == lang} for lang in ("en", "de", "fr")}
+    assert len(got) == 81 and by["de"] == set(range(30)) and by["fr"] == {7} and len(by["en"]) == 50
+
+
+def brute_language(labelled, texts, top):
+    """Profiles and nearest languages by dictionaries and plain loops."""
+    def counted(texts):
+        n = Counter()
+        for t in texts:
+            for word in re.findall(r"[^\W\d_]+", t.lower()):
+                padded = f" {word} "
+                n.update(c for c in word)
+                for size in (2, 3):
+                    n.update(padded[i : i + size] for i in range(len(padded) - size + 1))
+        code = lambda s: sum(ord(c) << 21 * i for i, c in enumerate(reversed(s)))
+        return [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], code(x[0])))][:top]
+
+    profiles = {lang: {g: i for i, g in enumerate(counted([t for t, x in labelled if x == lang]))} for lang in sorted({x for _, x in labelled})}
+    out = []
+    for t in texts:
+        own = counted([t])
+        far = {lang: sum(abs(p[g] - i) if g in p else top for i, g in enumerate(own)) for lang, p in profiles.items()}
+        lang = min(far, key=lambda x: (far[x], x)) if own else None
+        out.append((lang, 1 - far[lang] / (top * len(own))) if own else ("und", 0.0))
+    return out
+
+
+@pytest.mark.parametrize("top", [300, 40])
+def test_language_by_brute_force(spark, top):
+    labelled = [("The cat and the dog, the end", "en"), ("Der Hund und die Katze über allem", "de"), ("le chat et le chien là", "fr"), ("another one of those things", "en")]
+    texts = ["the dog", "die Katze", "le chien", "", "12 %", "ÜBER uns", "x", "the cat und le chien " * 50, "zzz qqq", None]
+    known = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(labelled)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit("clash"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, language_id.fit(known, top=top), top).collect()}
+    for i, (lang, score) in enumerate(brute_language(labelled, [t or "" for t in texts], top)):
+        assert got[i] == (lang, pytest.approx(score)), texts[i]
+    assert language_id.predict(docs.limit(0), language_id.fit(known)).count() == 0
+    assert language_id.fit(known.limit(0)) == {}
+
+
 def test_language_grams():
     code = lambda s: sum(ord(c) << 21 * i for i, c in enumerate(reversed(s)))
     assert Counter(language_id.grams("Ab 1c").tolist()) == Counter(code(s) for s in ["a", "b", "c", " a", "ab", "b ", " c", "c ", " ab", "ab ", " c "])
