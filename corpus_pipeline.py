@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; each result is written as
 Parquet and read again as the next stage's docs. All but the last return the columns of ``documents``; columns that a
-stage doesn't know pass through it.
+stage doesn't know pass through it, whatever their names: columns that a stage adds for itself take names that are free.
+Null and empty texts are rejected by the first stage; an empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.llm import language_id, mixing, secrets_scan
+from chronoweave.llm.keyed import NO_ID
 from chronoweave.llm.near_dedup import near_dedup
 from chronoweave.llm.packing import pack_pieces
 from chronoweave.llm.store import settle
@@ -23,11 +25,16 @@ LEAST_SCORE = 0.2
 ALIKE = 80
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    """The documents with did and k1, as in ``llm.keyed``."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    ident = F.col("doc_id").cast("long")
-    return docs.withColumns({"_did": F.coalesce(ident, F.lit(-(2**63))), "_k1": F.xxhash64(ident, text)})
+def _fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the documents has one of them."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +42,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Profiles are learned from the rows that name a language. A text without letters, empty or null goes.
     """
-    said = language_id.annotate(docs, language_id.fit(docs))
-    return said.filter((F.col("_lang_pred") != language_id.UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).withColumn("lang", F.col("_lang_pred")).select(*docs.columns)
+    lang, score = _fresh(docs, "_lang_pred", "_lang_score")
+    said = language_id.annotate(docs, language_id.fit(docs), names=(lang, score))
+    return said.filter((F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).withColumn("lang", F.col(lang)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +52,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents are linked from ``ALIKE`` per cent on.
     """
-    kept = near_dedup(docs, threshold=ALIKE).filter("kept").select(F.col("did").alias("_did"), F.col("k1").alias("_k1")).distinct()
+    did, k1 = _fresh(docs, "_did", "_k1")
+    kept = near_dedup(docs, threshold=ALIKE).filter("kept").select(F.col("did").alias(did), F.col("k1").alias(k1)).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    ident = F.col("doc_id").cast("long")
+    keyed = docs.withColumns({did: F.coalesce(ident, F.lit(NO_ID)), k1: F.xxhash64(ident, text)})
     # A component's smallest id may stand in several rows with different texts; they are kept if each speaks for it.
-    return _keys(docs).join(kept, ["_did", "_k1"], "left_semi").dropDuplicates(["_did", "_k1"]).select(*docs.columns)
+    return keyed.join(kept, [did, k1], "left_semi").dropDuplicates([did, k1]).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,12 +69,18 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Emits each document as often as the mix takes it: never, once or twice."""
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")), "source"))
-    # Rows alike in id, text and source are one to the mix: their copies are emitted from one of them.
-    copies = mixing.copies_of(keyed, extra=("_row",)).groupBy("_row").agg(F.sum("copies").cast("int").alias("_copies"))
-    joined = keyed.dropDuplicates(["_row"]).join(copies, "_row")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """Emits each document as often as the mix takes it: never, once or twice.
+
+    Rows alike in id, text and source are one to the mix, known by 128 bits of hash; their copies are emitted from one of them.
+    """
+    row, more, copies, copy = _fresh(docs, "_row", "_more", "_copies", "_copy")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    same = [F.col("doc_id").cast("long"), text, F.col("source"), F.col("source").isNull()]
+    keyed = docs.withColumns({row: F.xxhash64(*same), more: F.xxhash64(F.lit(1), *same)})
+    slim = keyed.select("doc_id", "text", "source", F.col(row).alias("row"), F.col(more).alias("more"))
+    taken = mixing.copies_of(slim, extra=("row", "more")).groupBy(F.col("row").alias(row), F.col("more").alias(more)).agg(F.sum("copies").cast("int").alias(copies))
+    joined = keyed.dropDuplicates([row, more]).join(taken, [row, more])
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
