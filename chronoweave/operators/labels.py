@@ -111,12 +111,21 @@ def exclusions(grid: DataFrame, entities: DataFrame, horizons: tuple[int, ...])
     return named.unionByName(none.select(each.alias("horizon_months"), F.lit("no_cutoff").alias("reason"), "entities", F.lit(0).cast("long").alias("n_rows")))
 
 
-def audits(grid: DataFrame) -> DataFrame:
+def audits(grid: DataFrame, rules: LabelRules) -> DataFrame:
     """(audit, violations): what must be empty in a label grid."""
+    end = window_end(F.col("as_of_date"), F.col("horizon_months"))
+    on = F.coalesce("event_date", "event_known_from")
+    launch = F.lit(rules.launch).cast("date")
+    limit = F.when(end >= launch, F.add_months("cutoff_date", -rules.alive_lag_months)).otherwise(F.col("cutoff_date"))
+    overlap = (F.col("as_of_date") < F.lit(rules.regime_end).cast("date")) & (end >= F.lit(rules.regime_start).cast("date"))
     tests = {
         "class_and_censoring_disagree": F.col("outcome_class").isNull() != F.col("censored"),
-        "event_outside_window": F.coalesce(F.coalesce("event_date", "event_known_from") > window_end(F.col("as_of_date"), F.col("horizon_months")), F.lit(False)),
+        "event_outside_window": on > end,
+        "event_not_after_day": on <= F.col("as_of_date"),
         "alive_with_event": (F.col("outcome_class") == "alive") & F.col("trigger_event_type").isNotNull(),
+        "alive_past_cutoff": (F.col("outcome_class") == "alive") & (end > limit),
+        "event_without_case_or_reason": (F.col("outcome_class") != "alive") & F.col("proceeding_id").isNull() & F.col("proceeding_id_note").isNull(),
+        "regime_flag_is_not_overlap": F.col("regime_flag") != overlap,
         "label_after_cutoff": F.col("as_of_date") > F.col("cutoff_date"),
         "not_a_month_end": F.col("as_of_date") != F.last_day("as_of_date"),
     }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions.values import distinct_sorted
+from chronoweave.operators.temporal import settled
 
 CLASSES = ("bankruptcy", "restructuring", "liquidation")
 
@@ -40,9 +41,9 @@ def canonical_events(events: DataFrame) -> DataFrame:
     exits = groups.filter("event_type = 'deregistered'").select("dedup_group_id", "krs", F.col("effective_date").alias("left_on"))
     before = groups.select("krs", F.col("dedup_group_id").alias("p_id"), F.col("outcome_class").alias("p_class"), F.col("proceeding_id").alias("p_case"), F.col("effective_date").alias("p_on"), "precludes_silent_exit")
     earlier = exits.join(before, "krs").filter("p_on <= left_on")
-    counts = F.col("p_class").isin(*CLASSES)
-    # Latest first; on one day the first by id.
-    latest = F.max_by(F.struct("p_class", "p_case"), F.when(counts, F.struct("p_on", F.transform(F.split("p_id", ""), lambda c: -F.ascii(c)), -F.length("p_id"))))
+    # The latest day's proceeding, on one day the first by id: least by days back, then by id.
+    days_back = F.struct(F.datediff("left_on", "p_on"), "p_id")
+    latest = F.min_by(F.struct("p_class", "p_case"), F.when(F.col("p_class").isin(*CLASSES), days_back))
     found = earlier.groupBy("dedup_group_id").agg(
         latest.alias("prior"),
         F.coalesce(F.bool_or(F.col("precludes_silent_exit") & (F.col("p_id") != F.col("dedup_group_id"))), F.lit(False)).alias("precluded"),
@@ -64,21 +65,30 @@ def coverage(canonical: DataFrame, registry_types: tuple[str, ...] = ("registere
     return rows.groupBy(source.alias("source"), F.year("known_from").alias("event_year"), "event_type").agg(F.count("*").alias("events"), F.count_distinct("krs").alias("entities"))
 
 
-def linked_proceedings(pairs: DataFrame, published: DataFrame, rounds: int = 64) -> DataFrame:
+def linked_proceedings(pairs: DataFrame, published: DataFrame) -> DataFrame:
     """(krs, signature, proceeding_id): signatures named together are one proceeding, within an entity.
 
     ``pairs``: krs, a, b. ``published``: krs, signature, published_on. A proceeding is named by the signature published first,
-    then the first by alphabet. Least labels spread along pairs until nothing changes.
+    then the first by alphabet. Each round a signature takes the least name among its neighbours and their names' own names, so
+    what is known of a chain doubles in length; rounds go on until nothing changes. A pair with a signature that was never
+    published links what it names; that signature itself gets no row.
     """
-    both = pairs.unionByName(pairs.select("krs", F.col("b").alias("a"), F.col("a").alias("b")))
-    name = F.struct("published_on", "signature")
-    labels = published.groupBy("krs", "signature").agg(F.min("published_on").alias("published_on")).withColumn("label", name)
-    for _ in range(rounds):
-        near = both.join(labels.select("krs", F.col("signature").alias("b"), "label"), ["krs", "b"]).groupBy("krs", F.col("a").alias("signature")).agg(F.min("label").alias("near"))
-        following = labels.join(near, ["krs", "signature"], "left").withColumn("least", F.least("label", F.coalesce("near", "label")))
-        following = following.checkpoint() if following.sparkSession.sparkContext.getCheckpointDir() else following.cache()
-        changed = not following.filter("least < label").isEmpty()
-        labels = following.select("krs", "signature", "published_on", F.col("least").alias("label"))
-        if not changed:
+    both = pairs.unionByName(pairs.select("krs", F.col("b").alias("a"), F.col("a").alias("b"))).filter("a is not null and b is not null").distinct()
+    own = published.groupBy("krs", "signature").agg(F.min("published_on").alias("published_on"))
+    unseen = both.select("krs", F.col("a").alias("signature")).distinct().join(own, ["krs", "signature"], "left_anti")
+    # Names compare by day, unpublished ones last, then by alphabet.
+    name = F.struct(F.col("published_on").isNull().alias("late"), F.col("published_on").alias("on"), F.col("signature").alias("signature"))
+    labels = own.unionByName(unseen.withColumn("published_on", F.lit(None).cast(own.schema["published_on"].dataType))).select("krs", "signature", name.alias("label"))
+    while True:
+        named = labels.select("krs", F.col("signature").alias("b"), F.col("label").alias("near"))
+        near = both.join(named, ["krs", "b"]).groupBy("krs", F.col("a").alias("signature")).agg(F.min("near").alias("near"))
+        stepped = labels.join(near, ["krs", "signature"], "left").select("krs", "signature", "label", F.least("label", F.coalesce("near", "label")).alias("near"))
+        # And what the name it then has is named itself.
+        via = labels.select("krs", F.col("signature").alias("_via"), F.col("label").alias("far"))
+        jumped = stepped.withColumn("_via", F.col("near.signature")).join(via, ["krs", "_via"]).select("krs", "signature", "label", F.least("near", "far").alias("least"))
+        jumped = settled(jumped)
+        if jumped.filter("least < label").isEmpty():
             break
-    return labels.select("krs", "signature", F.col("label.signature").alias("proceeding_id"))
+        labels = jumped.select("krs", "signature", F.col("least").alias("label"))
+    named = labels.join(own.select("krs", "signature"), ["krs", "signature"])
+    return named.select("krs", "signature", F.col("label.signature").alias("proceeding_id"))

@@ -6,6 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Ends the lineage of a table that rounds build on, in the folder named by ``spark.checkpoint.dir``.
+
+    Only a local session without such a folder keeps it in memory instead.
+    """
+    context = df.sparkSession.sparkContext
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and folder:
+        context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        return df.cache()
+    return df.checkpoint()
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, take: list[str], how: str = "inner") -> DataFrame:
     """Each left row with the latest right row of its key at or before its time.
 

@@ -49,8 +49,8 @@ FROM (SELECT *, CASE WHEN event_type IN ('bankruptcy_declared', 'arrangement_app
                         WHEN event_id % 2 = 0 THEN 'board_changed' ELSE 'office_moved' END AS event_type
             FROM events) a) b""",
     "fetches": """
-SELECT lpad(CAST(user_id AS STRING), 10, '0') AS krs, CASE WHEN event_id % 2 = 0 THEN 'KRS' ELSE 'MSiG' END AS source,
-       DATE '2019-06-30' + CAST(event_id % 400 AS INT) AS fetched_on FROM events WHERE event_id % 10 < 4""",
+SELECT lpad(CAST(user_id AS STRING), 10, '0') AS krs, CASE WHEN event_id % 10 >= 4 THEN 'RDF' WHEN event_id % 2 = 0 THEN 'KRS' ELSE 'MSiG' END AS source,
+       DATE '2019-06-30' + CAST(event_id % 400 AS INT) AS fetched_on FROM events""",
     "score": """
 SELECT lpad(CAST(user_id AS STRING), 10, '0') AS krs, last_day(DATE '2020-01-31' + CAST(30 * (event_id % 24) AS INT)) AS as_of_date,
        max(CAST(event_id % 1000 AS DOUBLE) / 1000.0) AS probability, 12 AS horizon_months, 'logistic' AS model_name

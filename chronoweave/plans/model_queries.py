@@ -227,10 +227,11 @@ def alerts_listing(t: Tables) -> DataFrame:
     return serving.alerts_listing(t.score.select("krs", "as_of_date", severity.alias("severity")), ["high", "medium"], limit=50)
 
 
-@QUERIES.query("WITH p AS (SELECT krs, document_ref, CAST(NULL AS VARCHAR) AS note FROM filing WHERE document_ref % 500 = 0) SELECT DISTINCT 'krs' AS \"column\", krs AS word FROM p WHERE krs IN (SELECT krs FROM entity WHERE nation < 5)")
+@QUERIES.query("SELECT DISTINCT 'krs' AS \"column\", f.krs AS word FROM filing f JOIN entity e ON e.krs = f.krs")
 def publish_leak_check(t: Tables) -> DataFrame:
-    published = t.filing.filter("document_ref % 500 = 0").select("krs", F.concat_ws(" ", F.lit("ref"), F.col("document_ref").cast("string")).alias("note"))
-    return serving.leaks(published, t.entity.filter("nation < 5").select("krs"), "krs").select("column", "word")
+    """Every filing as it would be published, against the identifiers of every entity."""
+    published = t.filing.select("krs", F.concat_ws(" ", F.lit("ref"), F.col("document_ref").cast("string")).alias("note"))
+    return serving.leaks(published, t.entity.select("krs"), "krs").select("column", "word")
 
 
 @QUERIES.query("SELECT krs, tier, reason FROM (SELECT e.krs, CASE WHEN s.last_searched IS NULL THEN 0 WHEN s.last_searched < DATE '2001-01-01' THEN 1 WHEN s.n_bad > 3 THEN 2 END AS tier, CASE WHEN s.last_searched IS NULL THEN 'never' WHEN s.last_searched < DATE '2001-01-01' THEN 'stale' WHEN s.n_bad > 3 THEN 'broken' END AS reason FROM entity e LEFT JOIN (SELECT krs, max(known_from) AS last_searched, count(*) FILTER (WHERE status = 'quarantined') AS n_bad FROM filing GROUP BY krs) s ON s.krs = e.krs) WHERE tier IS NOT NULL")
