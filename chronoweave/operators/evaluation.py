@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoweave.operators.temporal import running_sums
+
 EPSILON = 1e-15
 
 
@@ -31,13 +33,14 @@ def metrics(rows: DataFrame, by: list[str], y: str = "y", p: str = "probability"
         brier(F.col("_y"), F.col("_p"), F.col("_w")).alias("brier"), log_loss(F.col("_y"), F.col("_p"), F.col("_w")).alias("log_loss"),
     )
     scores = base.groupBy(*by, "_p").agg(F.sum(F.col("_w") * F.col("_y")).alias("pos"), F.sum(F.col("_w") * (1 - F.col("_y"))).alias("neg"))
-    upto = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = scores.withColumn("below", F.coalesce(F.sum("neg").over(upto), F.lit(0.0)))
+    ranked = running_sums(scores, by, ["_p"], {"_upto": "neg"}).withColumn("below", F.col("_upto") - F.col("neg"))
     area = ranked.groupBy(*by).agg((F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)) / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0.0))).alias("auc"))
-    order = Window.partitionBy(*by).orderBy(F.desc("_p"), *ties)
-    total = F.sum("_w").over(Window.partitionBy(*by)) / 10
-    before = F.coalesce(F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    taken = base.withColumn("_goal", total).withColumn("_got", F.least(F.greatest(total - before, F.lit(0.0)), F.col("_w")))
+    # From the highest score on; a group's rows lie over many tasks, and no task orders a group alone.
+    summed = running_sums(base.withColumn("_down", -F.col("_p")), by, ["_down", *[f"_t{i}" for i in range(len(ties))]], {"_upto": "_w"})
+    totals = base.groupBy(*by).agg((F.sum("_w") / 10).alias("_goal"))
+    taken = summed.join(totals, by) if by else summed.crossJoin(F.broadcast(totals))
+    room = F.col("_goal") - (F.col("_upto") - F.col("_w"))
+    taken = taken.withColumn("_got", F.least(F.greatest(room, F.lit(0.0)), F.col("_w")))
     top = taken.groupBy(*by).agg((F.sum(F.col("_got") * F.col("_y")) / F.first("_goal")).alias("top_decile"))
     if not by:
         return plain.crossJoin(area).crossJoin(top)
@@ -59,7 +62,9 @@ def bootstrap_brier(rows: DataFrame, entity: str, replicates: int = 1000, seed:
     """
     group = [strata] if strata else []
     sums = rows.groupBy(*group, entity).agg(F.sum(F.pow(F.col("probability") - F.col("y"), 2)).alias("s"), F.count("*").alias("m"))
-    placed = sums.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(entity)) - 1).withColumn("size", F.count("*").over(Window.partitionBy(*group)))
+    sizes = sums.groupBy(*group).agg(F.count("*").alias("size"))
+    placed = running_sums(sums.withColumn("_one", F.lit(1).cast("long")), group, [entity], {"place": "_one"}).withColumn("place", F.col("place") - 1).drop("_one")
+    placed = placed.join(sizes, group) if group else placed.crossJoin(F.broadcast(sizes))
     draws = placed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     draws = draws.select(*group, "replicate", F.pmod(F.xxhash64(F.lit(seed), *group, "replicate", "place"), F.col("size")).alias("drawn"))
     times = draws.groupBy(*group, "replicate", "drawn").agg(F.count("*").alias("times"))
@@ -76,9 +81,26 @@ def champion(paired: DataFrame, interval_high: Column, auc_margin: float, least_
     return paired.withColumn("verdict", F.when(~enough, "provisional").when(better, "promoted").otherwise("kept"))
 
 
+def quantiles(rows: DataFrame, value: str, at: list[float]) -> DataFrame:
+    """(value): the exact quantiles, between two neighbours by their distance, from distinct values and running counts.
+
+    A row for each quantile; no buffer holds more than the values a task has sorted.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
+    placed = running_sums(counts, [], ["x"], {"upto": "n"}).crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total"))))
+    spots = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(q)) * (F.col("total") - 1)).alias("spot")) for i, q in enumerate(at)]))
+    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
+    found = placed.select("x", first.alias("first"), last.alias("last"), spots.alias("s")).select("x", "first", "last", "s.i", "s.spot")
+    # A value that stands at the place below or above a spot, or at it.
+    low, high = F.floor("spot"), F.ceil("spot")
+    holds = lambda place: (F.col("first") <= place) & (place <= F.col("last"))
+    ends = found.filter(holds(low) | holds(high)).groupBy("i", "spot").agg(F.max(F.when(holds(low), F.col("x"))).alias("a"), F.max(F.when(holds(high), F.col("x"))).alias("b"))
+    return ends.select((F.col("a") + (F.col("b") - F.col("a")) * (F.col("spot") - F.floor("spot"))).alias("value"))
+
+
 def population_shift(before: DataFrame, after: DataFrame, value: str, bins: int = 10, floor: float = 1e-4) -> DataFrame:
     """PSI over the quantile bins of the earlier values, and the Kolmogorov-Smirnov distance. One row."""
-    edges = before.agg(F.percentile(value, [i / bins for i in range(1, bins)]).alias("e"))
+    edges = quantiles(before, value, [i / bins for i in range(1, bins)]).agg(F.array_sort(F.collect_list("value")).alias("e"))
     both = before.select(F.col(value).alias("x"), F.lit(0).alias("side")).unionByName(after.select(F.col(value).alias("x"), F.lit(1).alias("side")))
     bin_of = F.size(F.filter(F.array_distinct("e"), lambda e: e < F.col("x")))
     # One row of quantiles against all rows.
@@ -88,9 +110,10 @@ def population_shift(before: DataFrame, after: DataFrame, value: str, bins: int
     b = F.greatest(F.col("b") / F.sum("b").over(every), F.lit(floor))
     psi = counts.select(((b - a) * F.log(b / a)).alias("part")).agg(F.sum("part").alias("psi"))
     steps = both.groupBy("x").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-    upto = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.abs(F.sum("a").over(upto) / F.sum("a").over(every) - F.sum("b").over(upto) / F.sum("b").over(every))
-    return psi.crossJoin(steps.select(gap.alias("gap")).agg(F.max("gap").alias("ks")))
+    totals = steps.agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    summed = running_sums(steps, [], ["x"], {"upto_a": "a", "upto_b": "b"}).crossJoin(F.broadcast(totals))
+    gap = F.abs(F.col("upto_a") / F.col("n_a") - F.col("upto_b") / F.col("n_b"))
+    return psi.crossJoin(summed.agg(F.max(gap).alias("ks")))
 
 
 def wilson(k: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column, Column]:
@@ -102,10 +125,10 @@ def wilson(k: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column,
 
 
 def clustered_ratio(rows: DataFrame, cluster: str, numerator: Column, denominator: Column, z: float = 1.959963984540054) -> DataFrame:
-    """A ratio of sums over clusters with its linearised interval."""
+    """A ratio of sums over clusters with its linearised interval. The sums are one row, met by each cluster's."""
     per = rows.groupBy(cluster).agg(F.sum(numerator).cast("double").alias("a"), F.sum(denominator).cast("double").alias("b"))
-    r = F.sum("a").over(Window.partitionBy()) / F.sum("b").over(Window.partitionBy())
-    one = per.withColumn("r", r).withColumn("u", F.col("a") - F.col("r") * F.col("b"))
-    out = one.agg(F.first("r").alias("ratio"), F.count("*").alias("clusters"), F.sum(F.col("u") * F.col("u")).alias("uu"), F.sum("b").alias("b"))
+    whole = per.agg((F.sum("a") / F.sum("b")).alias("ratio"))
+    rest = F.col("a") - F.col("ratio") * F.col("b")
+    out = per.crossJoin(F.broadcast(whole)).agg(F.first("ratio").alias("ratio"), F.count("*").alias("clusters"), F.sum(rest * rest).alias("uu"), F.sum("b").alias("b"))
     half = F.lit(z) * F.sqrt(F.col("clusters") / (F.col("clusters") - 1) * F.col("uu")) / F.col("b")
     return out.select("ratio", "clusters", (F.col("ratio") - half).alias("low"), (F.col("ratio") + half).alias("high"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.timeops import month_index, settled_by, window_end
 from chronoweave.functions.values import first_reason
+from chronoweave.operators.temporal import running_sums
 
 
 def modelling_dataset(labels: DataFrame, store: DataFrame, horizon: int, classes: list[str]) -> DataFrame:
@@ -49,8 +50,8 @@ def mid_rank(train: DataFrame, rows: DataFrame, column: str, name: str) -> DataF
     both = train.select(F.col(column).alias("_x"), F.lit(1).alias("_t")).filter("_x is not null").groupBy("_x").agg(F.sum("_t").alias("_t"))
     wanted = rows.select(F.col(column).alias("_x")).filter("_x is not null").distinct().withColumn("_t", F.lit(0).cast("long"))
     values = both.unionByName(wanted).groupBy("_x").agg(F.sum("_t").alias("_t"))
-    upto = Window.orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("_upto", F.sum("_t").over(upto)).withColumn("_n", F.sum("_t").over(Window.partitionBy()))
+    # Distinct values, range-sorted: no task holds them all.
+    ranked = running_sums(values, [], ["_x"], {"_upto": "_t"}).crossJoin(F.broadcast(values.agg(F.sum("_t").alias("_n"))))
     ranked = ranked.select("_x", ((F.col("_upto") * 2 - F.col("_t")) / (F.col("_n") * 2)).alias(name))
     return rows.join(ranked, rows[column] == ranked["_x"], "left").drop("_x")
 
@@ -98,17 +99,22 @@ def survival_curve(periods: DataFrame, by: list[str]) -> DataFrame:
 
 
 def permutation_draw(frame: DataFrame, stratum: str, key: str, n: int, seed: str) -> DataFrame:
-    """The first n of each stratum in the order of a seeded hash, with their exact probability as a fraction."""
+    """The first n of each stratum in the order of a seeded hash, with their exact probability as a fraction.
+
+    Every task keeps the first n it has of a stratum, and only those are ordered: at most n rows a task and stratum.
+    """
     digest = F.sha2(F.concat_ws(":", F.lit(seed), F.col(key)), 256)
-    order = Window.partitionBy(stratum).orderBy(digest, key)
-    size = F.count("*").over(Window.partitionBy(stratum))
-    ranked = frame.withColumn("position", F.row_number().over(order).cast("long")).withColumn("pi_denominator", size)
-    return ranked.filter(F.col("position") <= n).select(stratum, key, "position", F.least(F.lit(n).cast("long"), F.col("pi_denominator")).alias("pi_numerator"), "pi_denominator")
+    rows = frame.withColumn("_digest", digest).withColumn("_task", F.spark_partition_id())
+    sizes = frame.groupBy(stratum).agg(F.count("*").alias("pi_denominator"))
+    ranked = lambda rows, *by: rows.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy("_digest", key)).cast("long")).filter(F.col("position") <= n)
+    drawn = ranked(ranked(rows, stratum, "_task"), stratum).withColumnRenamed(stratum, "_stratum")
+    met = drawn.join(sizes, F.col("_stratum").eqNullSafe(F.col(stratum)))
+    return met.select(stratum, key, "position", F.least(F.lit(n).cast("long"), F.col("pi_denominator")).alias("pi_numerator"), "pi_denominator")
 
 
 def systematic_picks(frame: DataFrame, key: str, start: float, step: float) -> DataFrame:
-    """Rows at places floor(start + i * step) of the frame ordered by key, from 0."""
-    placed = frame.withColumn("place", F.row_number().over(Window.orderBy(key)) - 1)
+    """Rows at places floor(start + i * step) of the frame ordered by key, from 0; the frame is range-sorted, never in one task."""
+    placed = running_sums(frame.withColumn("_one", F.lit(1).cast("long")), [], [key], {"place": "_one"}).withColumn("place", (F.col("place") - 1).cast("int"))
     i = F.ceil((F.col("place") - F.lit(start)) / F.lit(step))
     return placed.withColumn("pick", F.greatest(i, F.lit(0)).cast("long")).filter(F.floor(F.lit(start) + F.col("pick") * F.lit(step)) == F.col("place")).select(key, "place", "pick")
 

@@ -22,6 +22,25 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def running_sums(df: DataFrame, group: list[str], order: list[str], sums: dict[str, str]) -> DataFrame:
+    """Adds, by name, the running sum of a column within each group along the order, the row itself included.
+
+    The table is range-sorted by group and order, so a group as large as the table lies over many tasks; each sums its own rows,
+    and what the tasks before it hold of the group is added: a row for each group and task. Rows equal in group and order may
+    change places.
+    """
+    spread = df.repartitionByRange(*group, *order).withColumn("__task", F.spark_partition_id())
+    there = settled(spread.sortWithinPartitions(*group, *order).withColumn("__row", F.monotonically_increasing_id()))
+    parts = there.groupBy(*group, "__task").agg(*[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
+    earlier = Window.partitionBy(*group).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("__task").alias("__t"), *[F.coalesce(F.sum(f"__s_{n}").over(earlier), F.lit(0)).alias(f"__b_{n}") for n in sums])
+    own = Window.partitionBy("__task", *group).orderBy("__row").rowsBetween(Window.unboundedPreceding, 0)
+    summed = there.select("*", *[F.sum(c).over(own).alias(f"__o_{n}") for n, c in sums.items()])
+    same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+    met = summed.join(before, [*same, F.col("__t") == F.col("__task")])
+    return met.select(*df.columns, *[(F.col(f"__o_{n}") + F.col(f"__b_{n}")).alias(n) for n in sums])
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, take: list[str], how: str = "inner") -> DataFrame:
     """Each left row with the latest right row of its key at or before its time.
 
