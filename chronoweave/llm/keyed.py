@@ -44,9 +44,10 @@ def task_part(n: int) -> int:
     return (TaskContext.get().partitionId() << 24) + n
 
 
-def settled(n: int) -> list[int]:
-    """Group numbers, below zero and spread out, of rows that a map batch has settled itself."""
-    return [-1 - TaskContext.get().partitionId() % 997] * n
+def settled(n: int, part: int) -> list[int]:
+    """The group number, below zero, of rows that a map batch has settled itself: each batch has a group of its own, so
+    there are more of them, not larger ones, as the corpus grows."""
+    return [-1 - part] * n
 
 
 def pack(*arrays: np.ndarray, level: int = 1) -> bytes:

@@ -38,9 +38,9 @@ BUCKET_BYTES = 8 << 20
 FLUSH_BYTES = 6 << 20
 PIECE_BYTES = 512 << 10
 
-_PROBE = pa.schema([("bucket", pa.int32()), ("probes", pa.binary()), ("blocks", pa.binary()), ("k1", pa.int64()), ("did", pa.int64()), ("block", pa.int32())])
+_PROBE = pa.schema([("bucket", pa.int64()), ("probes", pa.binary()), ("blocks", pa.binary()), ("k1", pa.int64()), ("did", pa.int64()), ("block", pa.int32())])
 _HIT = pa.schema([("k1", pa.int64()), ("did", pa.int64()), ("block", pa.int32())])
-_WINDOW = pa.schema([("bucket", pa.int32()), ("part", pa.int64()), ("found", pa.binary()), ("docs", pa.binary())])
+_WINDOW = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("found", pa.binary()), ("docs", pa.binary())])
 _FOUND = pa.schema([("part", pa.int64()), ("found", pa.binary()), ("docs", pa.binary())])
 _RUNS = pa.schema([("k1", pa.int64()), ("did", pa.int64()), ("runs", pa.binary())])
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("n_spans", pa.int64()), ("kept", pa.string())])
@@ -63,7 +63,7 @@ def _dealt(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _send_probes(batches: Iterable[pa.RecordBatch], size: int, bits: int) -> Iterator[pa.RecordBatch]:
-    def flush(rows: list) -> Iterator[pa.RecordBatch]:
+    def flush(rows: list, part: int) -> Iterator[pa.RecordBatch]:
         probes, keys, ids, numbers, blocks = [], [], [], [], []
         for piece in parcels(rows, lambda r: len(r[2]), PIECE_BYTES):
             words = Words([r[2] for r in piece])
@@ -85,7 +85,7 @@ def _send_probes(batches: Iterable[pa.RecordBatch], size: int, bits: int) -> Ite
         here = [np.flatnonzero(many), np.flatnonzero(~many)]
         if len(here[0]):
             blank = [None] * len(here[0])
-            yield batch_of(_PROBE, [settled(len(blank)), blank, blank, key[here[0]], ident[here[0]], number[here[0]]])
+            yield batch_of(_PROBE, [settled(len(blank), part), blank, blank, key[here[0]], ident[here[0]], number[here[0]]])
         third = np.zeros(len(probe), dtype=bool)
         third[2:] = probe[2:] == probe[:-2]
         probe = probe[~third]
@@ -105,17 +105,18 @@ def _send_probes(batches: Iterable[pa.RecordBatch], size: int, bits: int) -> Ite
             yield batch_of(_PROBE, [*out, blank, blank, blank])
 
     lean()
-    for rows in parcels(((k1, did, text.encode()) for did, k1, text in table_rows(batches)), lambda r: len(r[2]) + 64, FLUSH_BYTES):
-        yield from flush(rows)
+    rows = ((k1, did, text.encode()) for did, k1, text in table_rows(batches))
+    for n, held in enumerate(parcels(rows, lambda r: len(r[2]) + 64, FLUSH_BYTES)):
+        yield from flush(held, task_part(n))
 
 
 def _match_probes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one bucket: the blocks whose key occurs at two places or more. What a map batch settled passes through."""
     probes, blocks = [], []
     for batch in batches:
-        settled = batch.filter(pa.compute.less(batch["bucket"], 0))
-        if len(settled):
-            yield settled.select(_HIT.names).cast(_HIT)
+        done = batch.filter(pa.compute.less(batch["bucket"], 0))
+        if len(done):
+            yield done.select(_HIT.names).cast(_HIT)
     for bucket, probe, block, *_ in table_rows(batches):
         if bucket < 0:
             continue
@@ -157,7 +158,7 @@ def _send_windows(batches: Iterable[pa.RecordBatch], size: int, window: int, bit
         again = ~first
         again[:-1] |= ~first[1:]
         table = pack(np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64), np.concatenate(starts).astype(np.int64))
-        yield batch_of(_WINDOW, [settled(1), [part], [pack(np.sort(at[again]))], [table]])
+        yield batch_of(_WINDOW, [settled(1, part), [part], [pack(np.sort(at[again]))], [table]])
         found, low, at = found[first], low[first], at[first]
         bounds, used = _dealt(found, bits)
         out = []
@@ -166,7 +167,7 @@ def _send_windows(batches: Iterable[pa.RecordBatch], size: int, window: int, bit
             by_place = i + np.argsort(at[i:j])
             out.append(pack(found[by_place], low[by_place], deltas(at[by_place])))
         if out:
-            yield batch_of(_WINDOW, [used.astype(np.int32), [part] * len(out), out, [None] * len(out)])
+            yield batch_of(_WINDOW, [used.astype(np.int64), [part] * len(out), out, [None] * len(out)])
 
     lean()
     rows = ((k1, did, text.encode(), hits) for did, k1, _, text, hits in table_rows(batches))

@@ -9,12 +9,15 @@ have equal anchors at equal places, so it is enough to sort the suffixes that st
 one anchor travel as one string of ``length`` + (windows - 1) bytes.
 
 1. *Sampled splitters* range-partition the anchored suffixes by their leading bytes. A map batch first drops strings
-   that repeat within it (they are removed bytes already), so a hot passage costs one string for each batch.
+   that repeat within it (they are removed bytes already), so a hot passage costs one string for each batch. K-grams that
+   the sample shows to be frequent are anchors only of windows that hold nothing else, so that a common phrase, whose
+   suffixes must all meet, doesn't bring all that surrounds it into one bucket.
 2. *Buckets sort locally by multikey quicksort*, eight bytes at a time and only where suffixes still tie; strings that
    tie to their ends are copies, of which the earliest stays. Neighbours' common prefixes tell which of the others
    can share a window at all; their windows are compared one by one.
 3. *Across boundaries*: splitters are whole leading k-grams, so suffixes that share a k-gram never stand on two sides of
-   a boundary; nothing is left to compare there.
+   a boundary. A window that two strings share holds the k-gram of both, but not what follows it, so strings apart after the
+   k-gram must still meet: a boundary within a k-gram's suffixes would have to be compared with all of them, not with neighbours.
 
 Null texts are empty; texts shorter than ``length`` lose nothing; of rows that share a doc_id, the text's hash decides
 which is earlier, and rows that repeat id and text are one document whose result all of them get; a null id comes
@@ -33,7 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.llm.keyed import bucket_bits, by_group, ddl, deltas, pack, settled, task_part, total_bytes, unpack, with_key
-from chronoweave.llm.vector import BYTE_CODE, batch_of, parcels, rolling, runs_union, sliding_min, table_rows
+from chronoweave.llm.ranks import ranked_within
+from chronoweave.llm.store import settle
+from chronoweave.llm.vector import BYTE_CODE, batch_of, lean, parcels, rolling, runs_union, sliding_min, table_rows
 
 LENGTH = 100
 ANCHOR = 16
@@ -41,10 +46,11 @@ ANCHOR = 16
 BUCKET_BYTES = 8 << 20
 FLUSH_BYTES = 16 << 20
 PIECE_BYTES = 1 << 20
-#: Bytes of text sampled for each splitter.
-SAMPLE_BYTES = 32 << 10
+#: Bytes of text sampled for each splitter, about 50 suffixes; a k-gram that is a HOT part of as many is frequent.
+SAMPLE_BYTES, HOT = 8 << 10, 0.5
+HOT_BITS = 22
 
-_SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int64()), ("places", pa.binary()), ("strings", pa.binary()), ("docs", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("places", pa.binary()), ("strings", pa.binary()), ("docs", pa.binary())])
 _RUN = pa.schema([("part", pa.int64()), ("found", pa.binary()), ("docs", pa.binary())])
 _RUNS = pa.schema([("k1", pa.int64()), ("did", pa.int64()), ("runs", pa.binary())])
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
@@ -58,7 +64,17 @@ def _chunks(rows: list, length: int) -> Iterator[tuple[int, int, bytes]]:
             yield d, at, text[at : at + PIECE_BYTES + length - 1] if len(text) > PIECE_BYTES else text
 
 
-def _strings(piece: list, length: int, k: int) -> tuple:
+def hot_map(leads: list[bytes]) -> np.ndarray | None:
+    """Which low bits of a k-gram's hash stand for a frequent one. Others may share them: that moves an anchor, never a result."""
+    if not leads:
+        return None
+    out = np.zeros(1 << HOT_BITS, dtype=np.uint8)
+    for lead in leads:
+        out[int(rolling(BYTE_CODE[np.frombuffer(lead, dtype=np.uint8)], len(lead))[0]) & ((1 << HOT_BITS) - 1)] = 1
+    return out
+
+
+def _strings(piece: list, length: int, k: int, hot: np.ndarray | None = None) -> tuple:
     """The anchored strings of a piece: buffer, document, start in it, bounds in the buffer, anchor."""
     raw = b"\n".join(x[2] for x in piece)
     buf = np.frombuffer(raw, dtype=np.uint8)
@@ -66,6 +82,8 @@ def _strings(piece: list, length: int, k: int) -> tuple:
     first = np.cumsum(size + 1) - size - 1
     grams = rolling(BYTE_CODE[buf], k)
     keys = (grams & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(grams), dtype=np.uint64)
+    if hot is not None:
+        keys = (keys & np.uint64(0x7FFFFFFFFFFFFFFF)) | (hot[grams & np.uint64((1 << HOT_BITS) - 1)].astype(np.uint64) << np.uint64(63))
     least = sliding_min(keys, length - k + 1)
     have = np.maximum(size - length + 1, 0)
     total = int(have.sum())
@@ -94,13 +112,13 @@ def _sample(batches: Iterable[pa.RecordBatch], length: int, k: int) -> Iterator[
                 yield pa.RecordBatch.from_arrays([pa.array([bytes(x) for x in np.lib.stride_tricks.sliding_window_view(buf, k)[anchor[::4]]], pa.binary())], ["lead"])
 
 
-def _send(batches: Iterable[pa.RecordBatch], length: int, k: int, splitters: np.ndarray, ties: bool) -> Iterator[pa.RecordBatch]:
+def _send(batches: Iterable[pa.RecordBatch], length: int, k: int, splitters: np.ndarray, hot: list[bytes], ties: bool) -> Iterator[pa.RecordBatch]:
     def flush(rows: list, part: int) -> Iterator[pa.RecordBatch]:
         rows = sorted({r[:2]: r for r in rows}.values(), key=lambda r: r[:2])
         seen: dict[bytes, None] = {}
         kept, texts, again = [], [], []
         for piece in parcels(_chunks(rows, length), lambda x: len(x[2]), PIECE_BYTES):
-            raw, buf, doc, start, begin, end, anchor = _strings(piece, length, k)
+            raw, buf, doc, start, begin, end, anchor = _strings(piece, length, k, frequent)
             fresh = np.zeros(len(doc), dtype=bool)
             for i, (b, e) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
                 text = raw[b:e]
@@ -110,12 +128,12 @@ def _send(batches: Iterable[pa.RecordBatch], length: int, k: int, splitters: np.
             stale = ~fresh
             again.append(np.stack([doc[stale], start[stale], (start + end - begin)[stale]]))
             if fresh.any():
-                bucket = np.searchsorted(splitters, _leading(buf, anchor[fresh], k), "right").astype(np.int32)
+                bucket = np.searchsorted(splitters, _leading(buf, anchor[fresh], k), "right").astype(np.int64)
                 kept.append((bucket, doc[fresh], start[fresh], (end - begin)[fresh].astype(np.uint8), (anchor - begin)[fresh].astype(np.uint8)))
         texts = list(seen)
         did = np.array([r[0] for r in rows], dtype=np.int64)
         k1 = np.array([r[1] for r in rows], dtype=np.int64)
-        yield batch_of(_SENT, [settled(1), [part], [np.concatenate(again, axis=1).tobytes() if again else b""], [None], [pack(did, k1)]])
+        yield batch_of(_SENT, [settled(1, part), [part], [np.concatenate(again, axis=1).tobytes() if again else b""], [None], [pack(did, k1)]])
         if not kept:
             return
         bucket, doc, start, size, anchor = (np.concatenate(x) for x in zip(*kept, strict=True))
@@ -129,6 +147,8 @@ def _send(batches: Iterable[pa.RecordBatch], length: int, k: int, splitters: np.
             out.append((places, zstandard.ZstdCompressor(level=6).compress(b"".join([texts[i] for i in chosen.tolist()]))))
         yield batch_of(_SENT, [names, [part] * len(out), [x[0] for x in out], [x[1] for x in out], [None] * len(out)])
 
+    lean()
+    frequent = hot_map(hot)
     rows = ((did, k1, text.encode()) for did, k1, text in table_rows(batches))
     for n, held in enumerate(parcels(rows, lambda r: len(r[2]) + 64, FLUSH_BYTES)):
         yield from flush(held, task_part(n))
@@ -173,6 +193,7 @@ def _covered(length: int, k: int):
     right, left = -(-(length - k) // 8) + 10, -(-(length - k) // 8)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         columns, texts = [], []
         for bucket, part, places, strings, docs in table_rows(batches):
             if bucket < 0:
@@ -310,6 +331,22 @@ def _cut_bytes(batches: Iterable[pa.RecordBatch], with_text: bool) -> Iterator[p
             yield batch_of(_KEPT, list(zip(*out, strict=True)))
 
 
+def _splitters(keyed: DataFrame, n_bytes: int, buckets: int, length: int, k: int) -> tuple[np.ndarray, list[bytes]]:
+    """Leading k-grams that part the suffixes in ``buckets`` ranges, and frequent k-grams, from a sample of whole documents.
+
+    The sample is sorted on the cluster; the driver gets a row for each splitter, and at most as many frequent k-grams.
+    """
+    share = max(1, int(n_bytes / (buckets * SAMPLE_BYTES)))
+    texts = keyed.filter(F.pmod(F.col("k1"), F.lit(share)) == 0).select("text")
+    leads = settle(texts.mapInArrow(lambda it: _sample(it, length, k), "lead binary"), "sample")
+    n = leads.count()
+    step = max(1, n // buckets)
+    chosen = ranked_within(leads, [], ["lead"]).filter(F.pmod("rank", F.lit(step)) == step - 1).select("lead").collect()
+    most = max(2, int(HOT * n / buckets))
+    hot = leads.groupBy("lead").count().filter(F.col("count") > most).select("lead").collect()
+    return np.unique(np.array([bytes(r[0]) for r in chosen], dtype=f"S{k}")), sorted(bytes(r[0]) for r in hot)
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes, for each document.
 
@@ -320,12 +357,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, wi
     keyed = with_key(docs)
     n_bytes = total_bytes(docs)
     buckets = 1 << bucket_bits(n_bytes, bucket_bytes)
-    share = max(1, int(n_bytes / (buckets * SAMPLE_BYTES)))
-    sampled = keyed.filter(F.pmod(F.col("k1"), F.lit(share)) == 0).select("text").mapInArrow(lambda it: _sample(it, length, anchor), "lead binary")
-    leads = np.sort(np.array([bytes(r[0]) for r in sampled.collect()], dtype=f"S{anchor}"))
-    splitters = np.unique(leads[np.linspace(0, len(leads) - 1, buckets + 1).astype(int)[1:-1]]) if len(leads) else leads
+    splitters, hot = _splitters(keyed, n_bytes, buckets, length, anchor)
     ties = not keyed.select("did", "k1").distinct().groupBy("did").count().filter("count > 1").isEmpty()
-    sent = keyed.select("did", "k1", "text").mapInArrow(lambda it: _send(it, length, anchor, splitters, ties), ddl(_SENT))
+    sent = keyed.select("did", "k1", "text").mapInArrow(lambda it: _send(it, length, anchor, splitters, hot, ties), ddl(_SENT))
     found = by_group(sent, "bucket", _covered(length, anchor), _RUN)
     runs = by_group(found, "part", _runs_of, _RUNS).groupBy("did", "k1").agg(F.collect_list("runs").alias("runs"))
     cut = keyed.join(runs.hint("merge"), ["did", "k1"], "left").mapInArrow(lambda it: _cut_bytes(it, with_text), ddl(_KEPT))
