@@ -239,7 +239,8 @@ def test_fingerprints(spark):
     long = "".join(chr(97 + (i * i * 7 + i) % 26) for i in range(400))
     rows = [(1, long), (2, "é" + long[:200]), (3, None), (4, "short"), (5, "x" * 47), (6, "x" * 48), (7, "😀ab" * 40), (7, long), (None, "no id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("keys", F.lit("clash"))
-    order = sorted(((-(2**63) if d is None else d, t or "") for d, t in rows), key=lambda r: (r[0], r[1].encode()))
+    hashes = {r.text or "": r.h for r in docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted(((-(2**63) if d is None else d, t or "") for d, t in rows), key=lambda r: (r[0], hashes[r[1]], r[1].encode()))
     expected = Counter()
     for i, (d, t) in enumerate(order):
         half, following = len(t) // 2, order[(i + 1) % len(order)][1]
@@ -256,19 +257,37 @@ def test_fingerprints(spark):
     assert len({r.fingerprint for r in got if r.n_chars == 400}) == 1
 
 
-def test_winnowing_by_brute_force(spark):
+@pytest.mark.parametrize("part", [8192, 40])
+def test_winnowing_by_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(fingerprints, "PART", part)
     k, w, last = fingerprints.K, fingerprints.W, (1 << fingerprints.PLACE_BITS) - 1
-    texts = ["".join(chr(97 + (i * i * s + i) % 26) for i in range(n)) for s, n in ((3, 48), (5, 79), (7, 300))] + ["ab" * 90]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    chars = F.split("t", "")
-    fours = F.transform(chars, lambda c, i: F.xxhash64(c, *[F.get(chars, i + j) for j in (1, 2, 3)]))
-    grams = F.transform(fours, lambda x, i: F.xxhash64(x, *[F.get(fours, i + j) for j in (4, 8, 12)]))
-    for r in df.select("t", grams.alias("h"), fingerprints.winnowed(F.col("t")).alias("keys")).collect():
-        hashes = [x >> fingerprints.PLACE_BITS for x in r.h[: len(r.t) - k + 1]]
+    texts = ["".join(chr(97 + (i * i * s + i) % 26) for i in range(n)) for s, n in ((3, 48), (5, 79), (7, 300), (9, 87), (11, 88))] + ["ab" * 90, "é😀漢a" * 40]
+    grams = spark.createDataFrame([(t, i, t[i : i + k]) for t in texts for i in range(len(t) - k + 1)], "t string, i int, g string").select("t", "i", F.xxhash64(F.encode("g", "UTF-32")).alias("h"))
+    by = {(r.t, r.i): r.h >> fingerprints.PLACE_BITS for r in grams.collect()}
+    for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", fingerprints.winnowed(F.col("t")).alias("keys")).collect():
+        hashes = [by[r.t, i] for i in range(len(r.t) - k + 1)]
         chosen = sorted({min(range(i, i + w), key=lambda j: (hashes[j], -j)) for i in range(len(hashes) - w + 1)})
         assert [(last - (x & last), x >> fingerprints.PLACE_BITS) for x in r["keys"]] == [(i, hashes[i]) for i in chosen]
 
 
+def test_next_of_hot_ids(spark):
+    rows = [(None, f"text {i % 50}") for i in range(200)] + [(i, f"own {i}") for i in range(-5, 60)] + [(7, f"again {i}") for i in range(120)]
+    df = spark.createDataFrame([(-(2**63) if d is None else d, t) for d, t in rows], "did long, text string")
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    order = sorted(((-(2**63) if d is None else d, t) for d, t in rows), key=lambda r: (r[0], hashes[r[1]], r[1]))
+    expected = Counter((d, t, order[(i + 1) % len(order)][1]) for i, (d, t) in enumerate(order))
+    got = fingerprints.with_next(df.repartition(3), ["text"])
+    assert Counter(map(tuple, got.select("did", "text", "next_text").collect())) == expected
+    assert fingerprints.with_next(df.limit(1), ["text"]).first().next_text == df.limit(1).first().text
+
+
+def test_fingerprint_of_a_long_text(spark):
+    text = "".join(chr(97 + (i * i * 31 + i * 7) % 26) for i in range(400_000))
+    got = fingerprints.against_edits(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")).collect()
+    assert all(r.n_chars == 400_000 and r.near_next == 1.0 for r in got) and got[0].fingerprint == got[1].fingerprint
+    assert fingerprints.against_edits(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (i % 9), ["b", "a", None, "c"][i % 4] if i % 3 else "hot") for i in range(400)] + [(400, None, "empty"), (1, "w", "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("rank", F.lit("clash"))
