@@ -56,10 +56,6 @@ def latest_flag(grid: DataFrame, files: DataFrame, value: Column, name: str) ->
     return last.select(*KEYS, F.lit(name).alias("feature"), F.col("v.value").alias("value"), F.col("v.known_from").alias("known_from"))
 
 
-#: Families of features: functions of (grid, sources) that give long values.
-FAMILIES: dict[str, Callable[[DataFrame, dict[str, DataFrame]], DataFrame]] = {}
-
-
 def widen(grid: DataFrame, long: DataFrame, names: list[str]) -> DataFrame:
     """The feature store: keys, and for each feature its value and the day it was known from."""
     wide = long.groupBy(*KEYS).pivot("feature", names).agg(F.first("value").alias("v"), F.first("known_from").alias("k"))

@@ -52,10 +52,10 @@ def pass_rates(checks: DataFrame, file: list[str], by: list[str], entity: str, l
 def restatements(facts: DataFrame, tolerance: str = "0.05") -> DataFrame:
     """Prior-year values that differ from the year's own values as known before.
 
-    ``facts``: krs, line_item, kind, period_end, known_from, document_ref, value. The earlier value is the latest one published
-    before the restating file, for the period that ended a year earlier.
+    ``facts``: krs, line_item, kind, period_start, period_end, known_from, document_ref, value. The earlier value is the latest one
+    published before the restating file, for the period that ended on the day before the file's own starts.
     """
-    now = facts.filter("kind = 'prior_year'").select("krs", "line_item", "document_ref", "known_from", F.last_day(F.add_months("period_end", -12)).alias("period_end"), F.col("value").alias("restated"))
+    now = facts.filter("kind = 'prior_year'").select("krs", "line_item", "document_ref", "known_from", F.date_sub("period_start", 1).alias("period_end"), F.col("value").alias("restated"))
     was = facts.filter("kind = 'current_year'").select("krs", "line_item", "period_end", F.col("known_from").alias("was_known"), F.col("document_ref").alias("was_ref"), F.col("value").alias("reported"))
     pairs = now.join(was, ["krs", "line_item", "period_end"]).filter("was_known < known_from")
     last = pairs.groupBy("krs", "line_item", "period_end", "document_ref", "known_from", "restated").agg(F.max_by(F.struct("was_ref", "reported"), F.struct("was_known", "was_ref", "reported")).alias("was"))
@@ -63,6 +63,13 @@ def restatements(facts: DataFrame, tolerance: str = "0.05") -> DataFrame:
     return out.withColumn("difference", F.col("restated") - F.col("reported")).filter(F.abs("difference") > F.lit(tolerance).cast("decimal(20,2)"))
 
 
+def double_reported(facts: DataFrame) -> DataFrame:
+    """(a_ref, b_ref, a, b): a file's value for its own year, and a later file's column for that year, of the same line."""
+    own = facts.filter("kind = 'current_year'").select("krs", "line_item", "period_end", F.col("document_ref").alias("a_ref"), F.col("known_from").alias("a_known"), F.col("value").alias("a"))
+    later = facts.filter("kind = 'prior_year'").select("krs", "line_item", F.date_sub("period_start", 1).alias("period_end"), F.col("document_ref").alias("b_ref"), F.col("known_from").alias("b_known"), F.col("value").alias("b"))
+    return own.join(later, ["krs", "line_item", "period_end"]).filter("a_known < b_known").select("a_ref", "b_ref", "a", "b")
+
+
 def unit_suspects(pairs: DataFrame, least_lines: int = 3, least_share: float = 0.5, near: float = 0.1, power: float = 3) -> DataFrame:
     """File pairs whose common lines lie about 10 ** ``power`` fold apart: ``pairs`` has a_ref, b_ref, a, b."""
     apart = F.abs(F.log10(F.abs(F.col("a").cast("double") / F.col("b").cast("double"))))

@@ -138,22 +138,17 @@ def event_counts_window(t: Tables) -> DataFrame:
     return _event_values(t)[1]
 
 
-@QUERIES.query(EVENTS_SQL + """ SELECT krs, as_of_date, max(CASE WHEN feature = 'bankruptcy_petition_24m' THEN value END) AS bankruptcy_petition_24m, max(CASE WHEN feature = 'bankruptcy_petition_24m' THEN known_from END) AS bankruptcy_petition_24m__known_from,
-max(CASE WHEN feature = 'board_changed_24m' THEN value END) AS board_changed_24m, max(CASE WHEN feature = 'board_changed_24m' THEN known_from END) AS board_changed_24m__known_from,
-max(CASE WHEN feature = 'liquidation_opened_24m' THEN value END) AS liquidation_opened_24m, max(CASE WHEN feature = 'liquidation_opened_24m' THEN known_from END) AS liquidation_opened_24m__known_from FROM long_values GROUP BY krs, as_of_date""")
-def feature_store_wide(t: Tables) -> DataFrame:
-    grid, values = _event_values(t)
-    return features.widen(grid, values, [f"{x}_24m" for x in TYPES])
+#: The four metrics as they stand, and as they stood with every later filing and deletion gone.
+_FOUR = "[days_to_file, late_filings, corrections, CAST(greatest(due - first_year + 1, 0) - held AS DOUBLE)]"
 
 
-@QUERIES.query("SELECT CAST(NULL AS VARCHAR) AS krs, CAST(NULL AS DATE) AS as_of_date, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DATE) AS known_from WHERE false")
-def leakage_violations(t: Tables) -> DataFrame:
-    grid, values = _event_values(t)
-    names = [f"{x}_24m" for x in TYPES]
-    return features.leakage(features.widen(grid, values, names), names)
-
-
-@QUERIES.query("SELECT CAST(NULL AS VARCHAR) AS krs, CAST(NULL AS DATE) AS as_of_date, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS value_then WHERE false")
+@QUERIES.query(
+    FILING_SQL + ", cut_days AS (SELECT as_of_date AS day FROM days_at), then_filing AS (SELECT c.day, f.* REPLACE (CASE WHEN f.deleted_on <= c.day THEN f.deleted_on END AS deleted_on) FROM filing f JOIN cut_days c ON f.known_from <= c.day), "
+    "seen_then AS (SELECT g.krs, g.as_of_date, f.* EXCLUDE (krs, day), CAST(last_day(f.period_end + INTERVAL 6 MONTH) AS DATE) + 15 AS deadline FROM grid_rows g JOIN then_filing f ON f.krs = g.krs AND f.day = g.as_of_date AND f.known_from <= g.as_of_date AND (f.deleted_on IS NULL OR f.deleted_on > g.as_of_date)), m_then AS (SELECT krs, as_of_date, "
+    + FILING_SQL.split("m AS (SELECT krs, as_of_date, ", 1)[1].replace("FROM seen ", "FROM seen_then ")
+    + f", both_sides AS (SELECT krs, as_of_date, unnest(['days_to_file', 'late_filings', 'corrections', 'missing_years']) AS feature, unnest({_FOUR}) AS value FROM m WHERE as_of_date < DATE '2000-01-01'), then_side AS (SELECT krs, as_of_date, unnest(['days_to_file', 'late_filings', 'corrections', 'missing_years']) AS feature, unnest({_FOUR}) AS value_then FROM m_then WHERE as_of_date < DATE '2000-01-01')"
+    " SELECT krs, as_of_date, feature, value, value_then FROM both_sides FULL JOIN then_side USING (krs, as_of_date, feature) WHERE value IS DISTINCT FROM value_then"
+)
 def truncation_diff(t: Tables) -> DataFrame:
     """The late-filing count, computed from everything and from what was known on the day."""
 

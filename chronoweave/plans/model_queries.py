@@ -84,20 +84,35 @@ def quarantine_current_set(t: Tables) -> DataFrame:
     return daily.groupBy("stage", "entity_key").agg(F.array_join(F.max_by("found", "created_at"), ",").alias("reason_codes"), F.min("created_at").alias("first_detected_at"), F.max("created_at").alias("latest_at"))
 
 
-@QUERIES.query("""WITH now AS (SELECT krs, line_item, document_ref, known_from, CAST(last_day(period_end - INTERVAL 12 MONTH) AS DATE) AS period_end, value AS restated FROM fact WHERE kind = 'prior_year'), was AS (SELECT krs, line_item, period_end, known_from AS was_known, document_ref AS was_ref, value AS reported FROM fact WHERE kind = 'current_year'),
-p AS (SELECT n.*, w.was_ref, w.reported, row_number() OVER (PARTITION BY n.krs, n.line_item, n.period_end, n.document_ref, n.known_from, n.restated ORDER BY w.was_known DESC, w.was_ref DESC, w.reported DESC) AS k FROM now n JOIN was w ON w.krs = n.krs AND w.line_item = n.line_item AND w.period_end = n.period_end AND w.was_known < n.known_from)
-SELECT krs, line_item, period_end, document_ref, known_from, was_ref AS restated_ref, reported, restated, CAST(restated - reported AS DECIMAL(21,2)) AS difference FROM p WHERE k = 1 AND abs(restated - reported) > 0.05""")
+#: Prior-year values against the year's own: periods are adjacent where one ends on the day before the other starts.
+RESTATED = """own_year AS (SELECT krs, line_item, period_end, known_from AS was_known, document_ref AS was_ref, value AS reported FROM fact WHERE kind = 'current_year'),
+restated AS (SELECT n.krs, n.line_item, w.period_end, n.document_ref, n.known_from, w.was_ref AS restated_ref, w.reported, n.value AS restated, CAST(n.value - w.reported AS DECIMAL(21,2)) AS difference
+  FROM fact n JOIN own_year w ON w.krs = n.krs AND w.line_item = n.line_item AND w.period_end + 1 = n.period_start AND w.was_known < n.known_from WHERE n.kind = 'prior_year'
+  QUALIFY row_number() OVER (PARTITION BY n.krs, n.line_item, w.period_end, n.document_ref, n.known_from, n.value ORDER BY w.was_known DESC, w.was_ref DESC, w.reported DESC) = 1 AND abs(n.value - w.reported) > 0.05)"""
+
+
+@QUERIES.query(f"WITH {RESTATED} SELECT * FROM restated")
 def restatement_events(t: Tables) -> DataFrame:
     return quality.restatements(t.fact)
 
 
-@QUERIES.query("WITH m AS (SELECT krs, document_ref, line_item, max(value) AS v FROM fact GROUP BY ALL), p AS (SELECT a.document_ref AS a_ref, b.document_ref AS b_ref, abs(log10(abs(CAST(a.v AS DOUBLE) / CAST(b.v AS DOUBLE)))) AS apart FROM m a JOIN m b ON a.krs = b.krs AND a.line_item = b.line_item AND a.document_ref < b.document_ref WHERE a.v <> 0 AND b.v <> 0) SELECT a_ref, b_ref, count(*) AS n_lines, avg(CASE WHEN abs(apart - 1) <= 0.4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share, round(median(apart), 9) AS median_apart FROM p GROUP BY ALL HAVING count(*) >= 3 AND avg(CASE WHEN abs(apart - 1) <= 0.4 THEN 1.0 ELSE 0.0 END) >= 0.9")
+#: Values a thousandfold in every twentieth file, and one line for each file, column and year, so that years meet often.
+UNITS = """units AS (SELECT krs, document_ref, max(known_from) AS known_from, make_date(CAST(year(max(period_end)) AS INT), 1, 1) AS period_start, make_date(CAST(year(max(period_end)) AS INT), 12, 31) AS period_end, line_item, CASE WHEN line_item % 2 = 0 THEN 'prior_year' ELSE 'current_year' END AS kind,
+  max(value) * CASE WHEN document_ref % 20 = 0 THEN 1000 ELSE 1 END AS value FROM fact GROUP BY krs, document_ref, line_item)"""
+
+
+@QUERIES.query(f"""WITH {UNITS}, met AS (SELECT a.document_ref AS a_ref, b.document_ref AS b_ref, abs(log10(abs(CAST(a.value AS DOUBLE) / CAST(b.value AS DOUBLE)))) AS apart FROM units a JOIN units b ON b.krs = a.krs AND (b.line_item + 1) // 2 = (a.line_item + 1) // 2 AND a.period_end + 1 = b.period_start AND a.known_from < b.known_from
+  WHERE a.kind = 'current_year' AND b.kind = 'prior_year' AND a.value <> 0 AND b.value <> 0)
+SELECT a_ref, b_ref, count(*) AS n_lines, CAST(count(*) FILTER (WHERE abs(apart - 3) <= 0.5) AS DOUBLE) / count(*) AS share, round(median(apart), 9) AS median_apart FROM met GROUP BY ALL HAVING count(*) >= 2 AND count(*) FILTER (WHERE abs(apart - 3) <= 0.5) >= 0.5 * count(*)""")
 def unit_suspect_pairs(t: Tables) -> DataFrame:
-    m = t.fact.groupBy("krs", "document_ref", "line_item").agg(F.max("value").alias("v"))
-    b = m.select("krs", "line_item", F.col("document_ref").alias("b_ref"), F.col("v").alias("b"))
-    pairs = m.join(b, ["krs", "line_item"]).filter("document_ref < b_ref").select(F.col("document_ref").alias("a_ref"), "b_ref", F.col("v").alias("a"), "b")
-    # Values here lie tenfold apart at most, so the rule is applied at 10 instead of 1000.
-    return quality.unit_suspects(pairs, 3, 0.9, 0.4, power=1).withColumn("median_apart", F.round("median_apart", 9))
+    """Files whose own year and the next file's column for it lie about a thousandfold apart."""
+    ref, line = F.col("document_ref"), F.col("line_item")
+    year = F.year(F.max("period_end"))
+    units = t.fact.groupBy("krs", "document_ref", "line_item").agg(
+        F.max("known_from").alias("known_from"), F.make_date(year, F.lit(1), F.lit(1)).alias("period_start"), F.make_date(year, F.lit(12), F.lit(31)).alias("period_end"), F.max("value").alias("value")
+    )
+    units = units.withColumns({"value": F.col("value") * F.when(ref % 20 == 0, 1000).otherwise(1), "kind": F.when(line % 2 == 0, "prior_year").otherwise("current_year"), "line_item": F.floor((line + 1) / 2)})
+    return quality.unit_suspects(quality.double_reported(units), 2, 0.5, 0.5).withColumn("median_apart", F.round("median_apart", 9))
 
 
 METRICS = """WITH r AS (SELECT stratum, doc_id, probability AS p, y, weight AS w FROM prediction), g AS (SELECT stratum, p, sum(w * y) AS pos, sum(w * (1 - y)) AS neg FROM r GROUP BY ALL), a AS (SELECT stratum, sum(pos * (below + neg / 2)) / nullif(sum(pos) * sum(neg), 0) AS auc FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY stratum ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g) GROUP BY stratum),
