@@ -5,7 +5,7 @@ length are one run of ranks, however many there are. The gaps of open sequences
 numbers with equal room. Runs of both kinds are one table, dealt by ranges of size: (most/2, most], (most/3, most/2], and
 so on. Rounds repeat on it until no piece is left:
 
-1. *Sweep.* Every range, in a task of its own and at the same time as the others, takes its pieces from the longest on.
+1. *Sweep.* Every range, by itself and at the same time as the others, takes its pieces from the longest on.
    A run looks up its *successor* among the gaps of the range: the least room that still holds its length.
 2. *Rank.* Pieces and gaps of the two runs meet by rank, the first piece with the first gap, as many as both have; the
    losers look for the next successor.
@@ -38,6 +38,7 @@ from chronoweave.llm.keyed import ddl
 from chronoweave.llm.ranks import ranked_within
 from chronoweave.llm.store import cut, settle
 from chronoweave.llm.tokens import MOST
+from chronoweave.llm.vector import batch_of
 
 #: Range r holds sizes over most // PARTS[r] that no range before it holds; the last holds all that remain.
 PARTS = (2, 3, 4, 8, 16)
@@ -97,20 +98,20 @@ def sweep(pieces: list[tuple[int, int, int]], gaps: list[tuple[int, int, int]],
     return lines, lost, [(room, first, n) for room in rooms for first, n in open_gaps[room]]
 
 
-def _sweeps(most: int, opens: int):
-    """One range's part of a round, as a function of its runs."""
-
-    def swept(table: pa.Table) -> pa.Table:
-        at = table["at"][0].as_py()
-        rows = table.to_pylist()
-        of = lambda kind: [(r["size"], r["first"], r["n"]) for r in rows if r["kind"] == kind]
+def _sweeps(batches: Iterable[pa.RecordBatch], most: int, opens: int) -> Iterator[pa.RecordBatch]:
+    """A round's part of one task: the sweeps of the ranges it holds, each by itself."""
+    ranges: dict[int, list[dict]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            ranges.setdefault(row["at"], []).append(row)
+    for at, rows in sorted(ranges.items()):
+        of = lambda kind, rows=rows: [(r["size"], r["first"], r["n"]) for r in rows if r["kind"] == kind]
         lines, lost, gaps = sweep(of(PIECES), of(GAPS), most, opens if at == 0 else None)
         out = [(LINES, None, at, length, rank, n, sequence, place) for length, rank, n, sequence, place in lines]
         out += [(PIECES, range_of(size, most), at, size, first, n, None, None) for size, first, n in lost]
         out += [(GAPS, None, range_of(size, most), size, first, n, None, None) for size, first, n in gaps]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _RUN, strict=True)], schema=_RUN)
-
-    return swept
+        if out:
+            yield batch_of(_RUN, [list(c) for c in zip(*out, strict=True)])
 
 
 def plan(counts: DataFrame, most: int = MOST) -> DataFrame:
@@ -127,11 +128,13 @@ def plan(counts: DataFrame, most: int = MOST) -> DataFrame:
     )
     lines, front, turn = state.filter("false"), None, 0
     while True:
-        # The ranges' sweeps, a task for each; a round numbers the sequences it opens from turn * 2**40 on.
-        state = cut(state.groupBy("at").applyInArrow(_sweeps(most, turn << 40), ddl(_RUN)))
+        # A range's runs meet in one task, ranges in several; coalesced, as a session's partitions may be many more than ranges.
+        dealt = state.repartition(len(PARTS) + 1, "at").coalesce(len(PARTS) + 1)
+        # A round numbers the sequences it opens from turn * 2**40 on.
+        state = cut(dealt.mapInArrow(lambda it, opens=turn << 40: _sweeps(it, most, opens), ddl(_RUN)))
         lines = lines.unionByName(state.filter(F.col("kind") == LINES))
         # At most a row for each kind, range and band.
-        seen = state.filter(F.col("kind") != LINES).groupBy("kind", "band", "at").count().collect()
+        seen = state.filter(F.col("kind") != LINES).select("kind", "band", "at").coalesce(1).distinct().collect()
         bands = [r["band"] for r in seen if r["kind"] == PIECES]
         if not bands:
             return lines
