@@ -43,8 +43,8 @@ from chronoweave.llm.vector import BYTE_CODE, batch_of, lean, parcels, rolling,
 LENGTH = 100
 ANCHOR = 16
 #: Bytes of text whose suffixes one bucket sorts; that one map batch gathers; that numpy works on at a time.
-BUCKET_BYTES = 8 << 20
-FLUSH_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
+FLUSH_BYTES = 12 << 20
 PIECE_BYTES = 1 << 20
 #: Bytes of text sampled for each splitter, about 50 suffixes; a k-gram that is a HOT part of as many is frequent.
 SAMPLE_BYTES, HOT = 8 << 10, 0.5
