@@ -5,11 +5,12 @@ record's header first. Predicates on the record type and on headers decide there
 wants, the payload is passed over without being gathered: sought past in plain files, inflated in small pieces and dropped in
 compressed ones.
 
-*Writing.* A task writes files of about ``file_bytes`` with a gzip member for each record; a job's files count once its
-manifest is written, so what failed or repeated attempts leave behind is never read.
+*Writing.* A task writes files of about ``file_bytes`` with a gzip member for each record, after one ``warcinfo`` record that says
+what the file is (option ``info``); a job's files count once its manifest is written, so what failed or repeated attempts leave
+behind is never read.
 
 Options: ``pushdown`` (``true``: see ``PushingReader``), ``types`` (record types, by comma), ``payload`` (``all``, ``none`` or the types whose payload is wanted),
-``header.<Name>`` (a header's value), ``split_bytes``, ``file_bytes``, ``level``.
+``header.<Name>`` (a header's value), ``split_bytes``, ``file_bytes``, ``level``, ``info`` (``true``: see above; else no such record).
 
 Columns: see ``COLUMNS``. A null payload is empty; null headers are left out; a header's control characters are escaped.
 The files are reached by ``pyarrow.fs``: any folder whose URI it knows (local and shared file systems, HDFS, object stores).
@@ -189,7 +190,7 @@ class WarcReader(DataSourceReader):
                 held = 0
             out[-1].paths.append(found[n].path)
             held += found[n].size
-        return out
+        return out or [_Files([])]
 
     def read(self, partition: _Files):
         system, _ = _file_system(self.root)
@@ -256,11 +257,9 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is None:
                         names.append(f"part-{uuid.uuid4().hex}.warc.gz")
                         out, size = system.open_output_stream(f"{root}/{names[-1]}", compression=None), 0
-                    zipped = zlib.compressobj(level, zlib.DEFLATED, 31)
-                    head, block = record_of(row)
-                    data = zipped.compress(head) + zipped.compress(block) + zipped.compress(b"\r\n\r\n") + zipped.flush()
-                    out.write(data)
-                    size += len(data)
+                        if self.options.get("info") == "true":
+                            size += out.write(member({"record_type": "warcinfo", "record_id": f"<urn:file:{names[-1]}>", "warc_date": row.get("warc_date"), "payload": b"format: WARC File Format 1.1\r\n"}, level))
+                    size += out.write(member(row, level))
                     if size >= most:
                         out.close()
                         out = None
@@ -282,6 +281,13 @@ class WarcWriter(DataSourceArrowWriter):
                 system.delete_file(f"{root}/{n}")
 
 
+def member(row: dict, level: int = 1) -> bytes:
+    """A record as a gzip member of its own."""
+    zipped = zlib.compressobj(level, zlib.DEFLATED, 31)
+    head, block = record_of(row)
+    return zipped.compress(head) + zipped.compress(block) + zipped.compress(b"\r\n\r\n") + zipped.flush()
+
+
 def record_of(row: dict) -> tuple[bytes, bytes]:
     """Header and block of a record; a response's or revisit's block is an HTTP message."""
     http = row["record_type"] in ("response", "revisit")
@@ -371,11 +377,12 @@ def read_archive(spark: SparkSession, path: str, **options) -> DataFrame:
 def round_trip(spark: SparkSession, pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, from archives written and read back.
 
-    A response's bytes and digest come from the payload read; a revisit's from its header, as it has none.
+    A response's bytes and digest come from the payload read; a revisit's from its header, as it has none. The predicate on the
+    record type is pushed into the reader, which passes over the files' own records by their headers.
     """
     path = path or fresh_path(spark, "warc")
-    archive(with_revisits(pages, least_bytes), path)
-    back = read_archive(spark, path, types="response,revisit", payload="response")
+    archive(with_revisits(pages, least_bytes), path, info="true")
+    back = read_archive(spark, path, pushdown="true", payload="response").filter(F.col("record_type").isin("response", "revisit"))
     page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d*):", 1)
     here = F.col("payload").isNotNull()
     return back.select(

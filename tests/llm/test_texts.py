@@ -46,6 +46,18 @@ def test_warc_predicates_and_skipping(spark, small, tmp_path):
     assert warc.read_archive(spark, path, payload="none").filter("payload is not null").count() == 0
 
 
+def test_warc_info_and_empty(spark, small, tmp_path):
+    pages = spark.read.parquet(f"{small}/pages.parquet").limit(20)
+    path = f"file://{tmp_path}/w"
+    warc.archive(warc.with_revisits(pages), path, info="true", file_bytes="2000")
+    kinds = Counter(r.record_type for r in warc.read_archive(spark, path).collect())
+    assert kinds["response"] == 20 and kinds["warcinfo"] >= 2
+    got = warc.round_trip(spark, pages)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert {r.record_type for r in got.collect()} == {"response"} and "response,revisit" not in plan.replace(" ", "")
+    assert warc.round_trip(spark, pages.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("compressed", [False, True])
 def test_warc_stream(compressed):
     head, block = warc.record_of({"record_type": "resource", "record_id": "<a>", "payload": b"x" * 300_000})
@@ -201,6 +213,32 @@ def test_secrets_whole(spark):
     assert [(r.kind, r.start, r.length) for r in secrets_scan.findings(bare, model).collect()] == [("long_run", 3, 900)]
 
 
+def test_secrets_precision_and_recall(spark):
+    """On findings planted in prose, none of them as the training rows are made."""
+    model = secrets_scan.train(secrets_scan.labelled_findings(spark))
+    code = lambda n, size: base64.urlsafe_b64encode(hashlib.sha512(f"planted-{n}".encode()).digest()).decode().replace("-", "Q").replace("_", "z")[:size]
+    prose = "The report of the {} week says that the region and its customers have grown, see"
+    real = [f"{prose.format(i)} {form}" for i in range(40) for form in (f"stripe_secret_key={code(i, 32)}", f"github ghp_{code(i + 100, 36)} now", f"DB_PASSWORD: '{code(i + 200, 18)}!'", f"Authorization: Bearer {code(i + 300, 40)}", f'"auth_token": "{hashlib.md5(str(i).encode()).hexdigest()}"')]
+    harmless = [f"{prose.format(i)} {form}" for i in range(40) for form in (f"commit {hashlib.sha1(str(i).encode()).hexdigest()}", f"password = your_password_here", f"https://example.org/reports/{i}/annual_results_table_{2000 + i}/summary.html", f"sha256 {hashlib.sha256(str(i).encode()).hexdigest()} of the file", f"token: example-token-value and more of {i}")]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(real + harmless)], "doc_id long, text string")
+    flagged = {r.doc_id for r in secrets_scan.findings(docs, model).collect() if r.is_secret}
+    recall = len([i for i in range(len(real)) if i in flagged]) / len(real)
+    wrong = [i for i in flagged if i >= len(real)]
+    assert recall >= 0.95, recall
+    assert len(wrong) <= 0.05 * len(harmless), [harmless[i - len(real)] for i in wrong][:5]
+
+
+def test_secret_findings_by_brute_force(spark):
+    """Places, lengths and digests of long runs and known forms against Python's regular expressions."""
+    model = secrets_scan.train(secrets_scan.labelled_findings(spark))
+    run = lambda n, size: base64.b64encode(hashlib.sha512(str(n).encode()).digest() * 4).decode()[:size]
+    texts = [f"é {run(i, 15 + i)} und {run(i + 50, 30)}, 漢 AKIA{hashlib.md5(str(i).encode()).hexdigest()[:16].upper()}." for i in range(30)] + ["+" * 30 + "1", "x" * 19 + "1", "x" * 20 + "1", None, ""]
+    plain = re.compile(r"AKIA[0-9A-Z]{16}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}")
+    expected = {(i, m.start(), len(m[0]), hashlib.sha256(m[0].encode()).hexdigest()) for i, t in enumerate(texts) for m in plain.finditer(t or "")}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.start, r.length, r.value_sha256) for r in secrets_scan.findings(docs, model).collect()} == expected
+
+
 def test_secret_values_are_no_patterns(spark):
     model = secrets_scan.train(secrets_scan.labelled_findings(spark))
     texts = ["token = +1-555-0100-2222", "key: abcdefgh+++", "password=*x[1]{2$\\\\", "secret: ^a.b*c?d+e", "auth = '(((((((((('"]
@@ -339,6 +377,38 @@ def test_quality_rules(spark, small):
     assert all(r.kept == (not r.base_failed) for r in alone)
 
 
+def test_quality_score_by_brute_force(spark):
+    """Scores, threshold and verdicts by dictionaries of n-grams and plain sums; hashes are those of the operator."""
+    import math
+
+    import numpy as np
+
+    good = [f"the cat sat on the mat and the dog sat by the door number {i} of the house" for i in range(12)]
+    bad = [f"zq{i} xk jj wq zx vv kq xj qz wx vk jq xz kv qj zw" for i in range(6)]
+    mixed = [good[0][:30] + " " + bad[0][:20] + " and more of it here to read"]
+    texts = [*good, *bad, *mixed, "", None, "short one"]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
+    known = spark.createDataFrame([(i, 1) for i in range(12)] + [(12, 0)], "doc_id long, quality int")
+    grams = {i: Counter(quality_rules.grams(t or "").tolist()) for i, t in enumerate(texts)}
+    for i, t in enumerate(texts):  # three code points each
+        assert sum(grams[i].values()) == max(0, len(" ".join((t or "").split())) - 2)
+    raw, trusted = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if i < 12:
+            trusted.update(g)
+    n, a, b = quality_rules.BUCKETS, sum(trusted.values()), sum(raw.values())
+    ratio = lambda g: math.log((trusted[g] + 1) / (a + n)) - math.log((raw[g] + 1) / (b + n))
+    score = {i: sum(k * ratio(g) for g, k in c.items()) / sum(c.values()) if c else 0.0 for i, c in grams.items()}
+    for spread in (1.0, 8.0):
+        own = [score[i] for i in range(12)]
+        least = np.mean(own) - spread * np.std(own)
+        for r in quality_rules.quality_rules(docs, known, spread=spread).collect():
+            assert r.score == pytest.approx(score[r.doc_id], abs=1e-9)
+            assert r.kept == (not r.base_failed and round(score[r.doc_id], 9) >= round(least, 9)) or abs(score[r.doc_id] - least) < 1e-8
+    assert quality_rules.quality_rules(docs.limit(0), known).count() == 0
+
+
 def test_quality_threshold_reads_all_trusted(spark, small, monkeypatch):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     known = spark.read.parquet(f"{small}/labels.parquet")
