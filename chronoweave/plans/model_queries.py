@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.functions import values
 from chronoweave.operators import evaluation, modelling, quality, serving
 from chronoweave.plans.fixtures import Tables
 from chronoweave.plans.query import Book
@@ -72,18 +71,6 @@ def latest_run_current_rows(t: Tables) -> DataFrame:
     return quality.latest_run_rows(rows, "run_id", "seen_at")
 
 
-@QUERIES.query("""WITH log AS (SELECT 'filing' AS stage, CAST(document_ref AS VARCHAR) AS entity_key, CASE WHEN status = 'needs_pdf_tier' THEN 'xsd_tolerated' ELSE 'reason_' || CAST(document_ref % 3 AS VARCHAR) END AS reason_code, known_from AS created_at FROM filing WHERE status <> 'valid'
-UNION ALL SELECT 'entity', krs, 'reason_' || CAST(document_ref % 4 AS VARCHAR), known_from FROM filing WHERE document_ref % 13 = 0), last AS (SELECT *, max(created_at) OVER (PARTITION BY stage, entity_key) AS latest_at FROM log WHERE reason_code NOT IN ('xsd_tolerated', 'unit_corrected'))
-SELECT stage, entity_key, array_to_string(list(DISTINCT reason_code ORDER BY reason_code) FILTER (WHERE created_at = latest_at), ',') AS reason_codes, min(created_at) AS first_detected_at, max(latest_at) AS latest_at FROM last GROUP BY stage, entity_key""")
-def quarantine_current_set(t: Tables) -> DataFrame:
-    bad = t.filing.filter("status <> 'valid'").select(F.lit("filing").alias("stage"), F.col("document_ref").cast("string").alias("entity_key"), F.when(F.col("status") == "needs_pdf_tier", "xsd_tolerated").otherwise(F.concat(F.lit("reason_"), (F.col("document_ref") % 3).cast("string"))).alias("reason_code"), F.col("known_from").alias("created_at"))
-    other = t.filing.filter("document_ref % 13 = 0").select(F.lit("entity").alias("stage"), F.col("krs").alias("entity_key"), F.concat(F.lit("reason_"), (F.col("document_ref") % 4).cast("string")).alias("reason_code"), F.col("known_from").alias("created_at"))
-    log = bad.unionByName(other).filter(~F.col("reason_code").isin("xsd_tolerated", "unit_corrected"))
-    # One pass: reasons by day first, then the latest day's.
-    daily = log.groupBy("stage", "entity_key", "created_at").agg(values.distinct_sorted(F.col("reason_code")).alias("found"))
-    return daily.groupBy("stage", "entity_key").agg(F.array_join(F.max_by("found", "created_at"), ",").alias("reason_codes"), F.min("created_at").alias("first_detected_at"), F.max("created_at").alias("latest_at"))
-
-
 #: Prior-year values against the year's own: periods are adjacent where one ends on the day before the other starts.
 RESTATED = """own_year AS (SELECT krs, line_item, period_end, known_from AS was_known, document_ref AS was_ref, value AS reported FROM fact WHERE kind = 'current_year'),
 restated AS (SELECT n.krs, n.line_item, w.period_end, n.document_ref, n.known_from, w.was_ref AS restated_ref, w.reported, n.value AS restated, CAST(n.value - w.reported AS DECIMAL(21,2)) AS difference
