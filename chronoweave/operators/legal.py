@@ -69,26 +69,29 @@ def linked_proceedings(pairs: DataFrame, published: DataFrame) -> DataFrame:
     """(krs, signature, proceeding_id): signatures named together are one proceeding, within an entity.
 
     ``pairs``: krs, a, b. ``published``: krs, signature, published_on. A proceeding is named by the signature published first,
-    then the first by alphabet. Each round a signature takes the least name among its neighbours and their names' own names, so
-    what is known of a chain doubles in length; rounds go on until nothing changes. A pair with a signature that was never
-    published links what it names; that signature itself gets no row.
+    then the first by alphabet. Rounds contract the pairs: every name goes over to the least of its neighbours and itself, and pairs
+    of one name fall away, until none is left; a chain of any length takes about the logarithm of it. A signature that was never
+    published links what is paired with it, but gets no row.
     """
     both = pairs.unionByName(pairs.select("krs", F.col("b").alias("a"), F.col("a").alias("b"))).filter("a is not null and b is not null").distinct()
     own = published.groupBy("krs", "signature").agg(F.min("published_on").alias("published_on"))
     unseen = both.select("krs", F.col("a").alias("signature")).distinct().join(own, ["krs", "signature"], "left_anti")
     # Names compare by day, unpublished ones last, then by alphabet.
     name = F.struct(F.col("published_on").isNull().alias("late"), F.col("published_on").alias("on"), F.col("signature").alias("signature"))
-    labels = own.unionByName(unseen.withColumn("published_on", F.lit(None).cast(own.schema["published_on"].dataType))).select("krs", "signature", name.alias("label"))
-    while True:
-        named = labels.select("krs", F.col("signature").alias("b"), F.col("label").alias("near"))
-        near = both.join(named, ["krs", "b"]).groupBy("krs", F.col("a").alias("signature")).agg(F.min("near").alias("near"))
-        stepped = labels.join(near, ["krs", "signature"], "left").select("krs", "signature", "label", F.least("label", F.coalesce("near", "label")).alias("near"))
-        # And what the name it then has is named itself.
-        via = labels.select("krs", F.col("signature").alias("_via"), F.col("label").alias("far"))
-        jumped = stepped.withColumn("_via", F.col("near.signature")).join(via, ["krs", "_via"]).select("krs", "signature", "label", F.least("near", "far").alias("least"))
-        jumped = settled(jumped)
-        if jumped.filter("least < label").isEmpty():
-            break
-        labels = jumped.select("krs", "signature", F.col("least").alias("label"))
-    named = labels.join(own.select("krs", "signature"), ["krs", "signature"])
-    return named.select("krs", "signature", F.col("label.signature").alias("proceeding_id"))
+    names = own.unionByName(unseen.withColumn("published_on", F.lit(None).cast(own.schema["published_on"].dataType))).select("krs", "signature", name.alias("name"))
+    named = lambda side: names.select("krs", F.col("signature").alias(side), F.col("name").alias(f"{side}_name"))
+    edges = settled(both.join(named("a"), ["krs", "a"]).join(named("b"), ["krs", "b"]).select("krs", F.col("a_name").alias("a"), F.col("b_name").alias("b")).filter("not (a <=> b)").distinct())
+    labels = settled(names.select("krs", "signature", F.col("name").alias("label")))
+    while not edges.isEmpty():
+        near = settled(edges.groupBy("krs", "a").agg(F.min("b").alias("least")).select("krs", F.col("a").alias("was"), F.least("a", "least").alias("now")))
+        labels = settled(_moved(labels, "label", near))
+        edges = settled(_moved(_moved(edges, "a", near), "b", near).filter("not (a <=> b)").distinct())
+    return labels.join(own.select("krs", "signature"), ["krs", "signature"]).select("krs", "signature", F.col("label.signature").alias("proceeding_id"))
+
+
+def _moved(rows: DataFrame, column: str, near: DataFrame) -> DataFrame:
+    """The rows with a name replaced by the one it went over to, if it did."""
+    # A signature has one name, so it stands for it.
+    to = near.select("krs", F.col("was.signature").alias("_key"), F.col("now").alias("_now"))
+    met = rows.withColumn("_key", F.col(f"{column}.signature")).join(to, ["krs", "_key"], "left")
+    return met.select(*[F.coalesce("_now", column).alias(column) if c == column else F.col(c) for c in rows.columns])

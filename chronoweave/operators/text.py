@@ -28,17 +28,32 @@ def page_status(text: Column, least: int = 200) -> Column:
 
 
 def masked(text: Column, persons: Column | None = None) -> Column:
-    """Addresses, phone numbers, national numbers and the given person names by their tokens, in that order of precedence.
+    """Person names, addresses, phone numbers and national numbers by their tokens: the span that starts first, of those that start
+    together the longest name, then in that order. Spans never overlap; the words before a phone number stay.
 
     Names come from a recogniser outside (an array column); none is shipped here.
     """
-    out = F.regexp_replace(text, EMAIL, TOKENS["email"])
-    out = F.regexp_replace(out, PHONE, "$1" + TOKENS["phone"].replace("[", r"\["))
-    out = F.regexp_replace(out, PESEL, TOKENS["pesel"])
-    if persons is not None:
-        longest = F.array_sort(F.array_distinct(persons), lambda a, b: F.length(b) - F.length(a))
-        out = F.aggregate(longest, out, lambda t, name: F.replace(t, name, F.lit(TOKENS["person"])))
-    return out
+    kinds = [EMAIL, PHONE, PESEL]
+    if persons is None:
+        pattern = F.lit("|".join(f"(?:{k})" for k in kinds))
+        is_person = lambda m: F.lit(False)
+    else:
+        known = F.filter(F.array_distinct(F.coalesce(persons, F.array().cast("array<string>"))), lambda p: p.isNotNull() & (p != ""))
+        longest = F.array_sort(known, lambda a, b: F.length(b) - F.length(a))
+        # A name is taken as it stands, whatever characters it has.
+        quoted = F.transform(longest, lambda p: F.concat(F.lit("\\Q"), F.replace(p, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+        pattern = F.concat_ws("|", quoted, *[F.lit(f"(?:{k})") for k in kinds])
+        is_person = lambda m: F.array_contains(known, m)
+    whole = F.coalesce(text, F.lit(""))
+    found = F.regexp_extract_all(whole, pattern, F.lit(0))
+    between = F.split(whole, pattern, -1)
+
+    def token(m: Column) -> Column:
+        phone = F.concat(F.coalesce(F.regexp_extract(m, r"(?i)^((?:" + "|".join(PHONE_WORDS) + r")\b[.]?[:]?\s*)", 1), F.lit("")), F.lit(TOKENS["phone"]))
+        return F.when(is_person(m), F.lit(TOKENS["person"])).when(m.rlike("^(?:" + EMAIL + ")$"), F.lit(TOKENS["email"])).when(m.rlike("^" + PESEL + "$"), F.lit(TOKENS["pesel"])).otherwise(phone)
+
+    parts = F.zip_with(between, F.concat(F.transform(found, token), F.array(F.lit(""))), lambda b, t: F.concat(b, t))
+    return F.when(text.isNotNull(), F.when(F.size(found) > 0, F.array_join(parts, "")).otherwise(text))
 
 
 def personal_data(text: Column) -> Column:

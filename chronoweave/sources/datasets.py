@@ -25,13 +25,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_dataset(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    """A dataset under its declared schema; an error if it was never written."""
+    """A dataset under its declared schema; an error if it was never written. Between the two renames of a replacement, or after a
+    crash there, the version before is read."""
     path = f"{root}/{name}"
     if not exists(spark, path):
-        raise NotMaterialised(f"{name} has not been written to {root}")
+        path = _before(root, name)
+        if not exists(spark, path):
+            raise NotMaterialised(f"{name} has not been written to {root}")
     return spark.read.schema(schema).parquet(path)
 
 
+def _before(root: str, name: str) -> str:
+    """Where a dataset's version before stands while it is replaced."""
+    return f"{root}/_before-{name}"
+
+
 def external_view(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
     """A view over a dataset, or an empty one of the declared columns."""
     try:
@@ -43,7 +51,10 @@ def external_view(spark: SparkSession, root: str, name: str, schema: T.StructTyp
 
 
 def write_dataset(df: DataFrame, root: str, name: str, keys: list[str], partition: str | None = None) -> None:
-    """Replaces a dataset as a whole: written beside it, then renamed. Its partition column stays in the files as well."""
+    """Replaces a dataset as a whole: written beside it, then renamed. Its partition column stays in the files as well.
+
+    At every moment either the version before or the new one can be read (``read_dataset``).
+    """
     spark = df.sparkSession
     stage, path = f"{root}/_stage-{uuid.uuid4().hex}", f"{root}/{name}"
     if partition:
@@ -52,8 +63,9 @@ def write_dataset(df: DataFrame, root: str, name: str, keys: list[str], partitio
     else:
         df.sortWithinPartitions(*keys).write.option("compression", "zstd").parquet(stage)
     fs, staged, path_of = _fs(spark, stage)
-    target, old = path_of(path), path_of(f"{root}/_old-{uuid.uuid4().hex}")
+    target, old = path_of(path), path_of(_before(root, name))
     if fs.exists(target):
+        fs.delete(old, True)  # left by a crash after the new version stood
         fs.rename(target, old)
     if not fs.rename(staged, target):
         raise OSError(f"could not put {name} in place")
