@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.operators.evaluation import population_shift
+from chronoweave.operators.temporal import settled
 
 ALIASES = ("champion", "incumbent")
 
@@ -44,6 +45,7 @@ def pooled(predictions: DataFrame, fold: str, by: list[str], least_events: int)
 def runs(rows: DataFrame) -> DataFrame:
     """The three runs of a fold (rows with ``side`` train or test): main; no_regime, trained without regime rows; entity_disjoint,
     trained without the entities that are tested."""
+    rows = settled(rows)  # read by every run
     test = rows.filter("side = 'test'")
     train = rows.filter("side = 'train'")
     apart = train.join(test.select("krs").distinct(), "krs", "left_anti").select(*rows.columns)
