@@ -428,3 +428,80 @@ def test_bucket_search(spark):
     cuts = [3 * i for i in range(200)]
     got = spark.range(-5, 700).select("id", fingerprints._count_upto(cuts, F.col("id")).alias("n")).collect()
     assert all(r.n == sum(c <= r.id for c in cuts) for r in got)
+
+
+def test_quality_fit_counts_every_trusted_document(spark, monkeypatch):
+    """A bounded list of ids bounds nothing; null ids and ids that repeat are found as they stand."""
+    import math
+
+    rows = [(i if i % 10 else None, f"row {i} of the good old cat and its mat") for i in range(40)] + [(7, "the same id and another text")]
+    docs = spark.createDataFrame(rows + [(i, f"zq{i} xk jj wq zx vv kq xj qz wx vk jq") for i in range(100, 110)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, 1) for i in range(40)] * 2 + [(None, 1), (100, 0), (999, 1)], "doc_id long, quality int")
+    grams = [(i, Counter(quality_rules.grams(t).tolist())) for i, t in docs.collect()]
+    raw = sum((g for _, g in grams), Counter())
+    trusted = sum((g for i, g in grams if i is not None and i < 40), Counter())
+    n, a, b = quality_rules.BUCKETS, sum(trusted.values()), sum(raw.values())
+    ratio = lambda g: math.log((trusted[g] + 1) / (a + n)) - math.log((raw[g] + 1) / (b + n))
+    few = quality_rules.trusted_ids(known, 3)
+    monkeypatch.setattr(quality_rules, "trusted_ids", lambda labels: few)
+    got = quality_rules.quality_rules(docs, known).collect()
+    expected = sorted((i is not None, i or 0, sum(k * ratio(x) for x, k in g.items()) / sum(g.values())) for i, g in grams)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.score) for r in got)
+    assert [x[:2] for x in got] == [x[:2] for x in expected]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in expected], abs=1e-9)
+
+
+def brute_spread(good, unseen, bad):
+    """The number of deviations by trying each."""
+    import numpy as np
+
+    best = None
+    for k in range(8 * 16 + 1):
+        least = np.mean(good) - k / 16 * np.std(good)
+        lost, found = sum(x < least for x in unseen), sum(x < least for x in bad)
+        gain = found / max(1, len(bad)) - lost / len(good)
+        if (lost + 1) * 64 <= len(good) + 1 and (best is None or gain > best[0] + 1e-12):
+            best = gain, k / 16
+    return best[1] if best else 8
+
+
+def test_quality_verdict_on_near_mixtures(spark):
+    """Trusted text of two kinds has wide scores; what is half junk must go all the same, and no trusted document with it."""
+    import math
+
+    import numpy as np
+
+    one = [f"the cat sat on the mat and the dog sat by the door number {i} of the house" for i in range(120)]
+    two = [f"dort liegt eine graue katze auf ihrem kissen neben der blauen kanne {i}" for i in range(80)]
+    junk = [f"zq{i} xk jj wq zx vv kq xj qz wx vk jq xz kv qj zw" for i in range(30)]
+    half = [one[i][:38] + " " + junk[i][:36] for i in range(30)]
+    texts = [*one, *two[:20], *junk, *half, *two[20:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    good, bad = range(140), range(155, 185)
+    known = [(i, 1) for i in good] + [(i, 0) for i in bad]
+    grams = [Counter(quality_rules.grams(t).tolist()) for t in texts]
+    raw = sum(grams, Counter())
+    n = quality_rules.BUCKETS
+
+    def score(i, trusted):
+        a, b = sum(trusted.values()), sum(raw.values())
+        return sum(k * (math.log((trusted[g] + 1) / (a + n)) - math.log((raw[g] + 1) / (b + n))) for g, k in grams[i].items()) / sum(grams[i].values())
+
+    for labels in (known, known[:140], known[:62] + known[140:]):
+        frame = spark.createDataFrame(labels, "doc_id long, quality int")
+        got = {r.doc_id: r for r in quality_rules.quality_rules(docs, frame).collect()}
+        assert not any(r.base_failed for r in got.values())
+        own = [got[i].score for i, q in labels if q == 1]
+        trusted = sum((grams[i] for i, q in labels if q == 1), Counter())
+        unseen = [score(i, trusted - grams[i]) for i, q in labels if q == 1]
+        assert own == pytest.approx([score(i, trusted) for i, q in labels if q == 1], abs=1e-9)
+        spread = brute_spread(own, unseen, [got[i].score for i, q in labels if q == 0])
+        least = np.mean(own) - spread * np.std(own)
+        assert all(r.kept == (r.score >= least) for r in got.values() if abs(r.score - least) > 2e-9)
+        if len(own) >= 63:
+            assert spread < 8 and all(got[i].kept for i in good)
+            assert not any(got[i].kept for i in range(140, 200))
+            far = quality_rules.quality_rules(docs, frame, spread=8.0).filter("kept and doc_id between 170 and 199").count()
+            assert far == 30
+        else:
+            assert spread == 8
